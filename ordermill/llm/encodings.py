@@ -143,9 +143,9 @@ def count_trigrams(text: str, into: Counter) -> None:
             into[t] += 1
 
 
-def trigram_patterns(seen: dict[str, int]) -> dict[str, tuple[str, str, int]]:
-    """Garbled trigram -> (pair, right trigram, how often that is seen)."""
-    found: dict[str, tuple[str, str, int]] = {}
+def trigram_patterns(seen: dict[str, int]) -> dict[str, list[tuple[str, str, int]]]:
+    """Garbled trigram -> its readings: (pair, right trigram, how often that is seen)."""
+    found: dict[str, list[tuple[str, str, int]]] = {}
     for right, n in seen.items():
         if n < SEEN or LOST in right:
             continue
@@ -162,8 +162,7 @@ def trigram_patterns(seen: dict[str, int]) -> dict[str, tuple[str, str, int]]:
                 g = "".join(table[b] if b >= 128 else chr(b) for b in codes)
                 if g == right or g[1] == right[1] or n < RATIO * seen.get(g, 0):
                     continue
-                if g not in found or found[g][2] < n:
-                    found[g] = (f"{source}>{wrong}", right, n)
+                found.setdefault(g, []).append((f"{source}>{wrong}", right, n))
     return found
 
 
@@ -206,9 +205,11 @@ class Matcher:
             elif kind == "wide":
                 wide.append(start)
             else:
-                grams.setdefault(value[0], []).append((start, g, value[1], value[2]))
+                for pair, right, n in value:
+                    grams.setdefault(pair, []).append((start, g, right, n))
         spans = sure + [(a, b, c) for a, b, (c, bits) in weak if bits & read_as]
-        if not spans and len({h[1] for h in max(grams.values(), key=len, default=[])}) >= 3 and 2 * max(map(len, grams.values())) > len(wide):
+        most = max(grams.values(), key=len, default=[])
+        if not spans and len({h[1] for h in most}) >= 3 and 2 * len(most) > sum(ord(c) > 127 for c in text):
             wide = []
         if len(wide) >= 3:
             spans += self._wide(text, wide, [a for a, _, _ in sure])
@@ -280,7 +281,7 @@ class Matcher:
         """The pair of single-byte encodings with most trigrams, if they are enough to tell."""
         if not grams:
             return []
-        pair = max(grams, key=lambda p: (len({g for _, g, _, _ in grams[p]}), len(grams[p]), p))
+        pair = max(grams, key=lambda p: (len({g for _, g, _, _ in grams[p]}), len(grams[p]), sum(h[3] for h in grams[p]), p))
         hits = grams[pair]
         word = [h for h in hits if h[1][0].isalpha() or h[1][2].isalpha()]
         strange = [h for h in hits if h[2][1] in _SIGNS and h[3] >= 5 * SEEN and self.single[h[2][1]] >= RATIO * self.single[h[1][1]]]
