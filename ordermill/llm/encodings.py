@@ -176,14 +176,16 @@ class Matcher:
         for g, c in wide_sequences().items():
             if g not in machine:
                 machine.add_word(g, ("wide", g, c))
-        for g, (kind, c, bits) in garbled_sequences().items():
-            machine.add_word(g, (kind, g, (c, bits)))
-        machine.make_automaton()
-        self.machine = machine
         self.seen = seen
         self.single: Counter = Counter()
         for t, n in seen.items():
             self.single[t[1]] += n
+        for g, (kind, c, bits) in garbled_sequences().items():
+            # two letters that would stand for a letter the corpus doesn't use
+            doubtful = len(g) == 2 and g.isalpha() and self.single[c] < SEEN
+            machine.add_word(g, ("weak" if doubtful else kind, g, (c, bits)))
+        machine.make_automaton()
+        self.machine = machine
 
     def once(self, text: str) -> tuple[str, bool, bool]:
         """The text with its garbled spans replaced once, whether there were any, and whether more may lie beneath."""
@@ -208,11 +210,12 @@ class Matcher:
                 for pair, right, n in value:
                     grams.setdefault(pair, []).append((start, g, right, n))
         spans = sure + [(a, b, c) for a, b, (c, bits) in weak if bits & read_as]
-        most = max(grams.values(), key=len, default=[])
-        if not spans and len({h[1] for h in most}) >= 3 and 2 * len(most) > sum(ord(c) > 127 for c in text):
-            wide = []
         if len(wide) >= 3:
-            spans += self._wide(text, wide, [a for a, _, _ in sure])
+            runs = self._wide(text, wide, [a for a, _, _ in sure])
+            strange = sum(ord(c) > 127 for c in text)
+            # words of a single-byte script decode by chance here and there, a text does so throughout
+            if sure or sum(sum(ord(c) > 127 for c in text[a:b]) for a, b, _ in runs) >= 0.8 * strange or not self._single(text, grams):
+                spans += runs
         spans += self._embedded(text) + self._misread(text)
         beneath = bool(spans)
         if not spans:
