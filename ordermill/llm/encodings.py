@@ -181,8 +181,8 @@ class Matcher:
         for t, n in seen.items():
             self.single[t[1]] += n
         for g, (kind, c, bits) in garbled_sequences().items():
-            # two letters that would stand for a letter the corpus doesn't use
-            doubtful = len(g) == 2 and g.isalpha() and self.single[c] < SEEN
+            # letters that would stand for one the corpus does not use
+            doubtful = g.isalpha() and self.single[c] < SEEN
             machine.add_word(g, ("weak" if doubtful else kind, g, (c, bits)))
         machine.make_automaton()
         self.machine = machine
