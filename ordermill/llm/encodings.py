@@ -211,7 +211,7 @@ class Matcher:
                     grams.setdefault(pair, []).append((start, g, right, n))
         spans = sure + [(a, b, c) for a, b, (c, bits) in weak if bits & read_as]
         if len(wide) >= 3:
-            runs = self._wide(text, wide, [a for a, _, _ in sure])
+            runs = self._wide(text, wide, [(a, b) for a, b, _ in sure])
             strange = sum(ord(c) > 127 for c in text)
             # words of a single-byte script decode by chance here and there, a text does so throughout
             if sure or sum(sum(ord(c) > 127 for c in text[a:b]) for a, b, _ in runs) >= 0.8 * strange or not self._single(text, grams):
@@ -228,12 +228,12 @@ class Matcher:
         return "".join(out) + text[at:], bool(spans), beneath
 
     @staticmethod
-    def _wide(text: str, hits: list[int], sure: list[int]) -> list[tuple[int, int, str]]:
+    def _wide(text: str, hits: list[int], sure: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
         """Segments that a Western encoding can write and that decode strictly to East Asian text."""
         back, found = _encoded("cp1252"), []
         for m in re.finditer(r"[^\n⺀-￯]+", text):
             a, b = m.span()
-            if sum(a <= h < b for h in hits) < 3 or any(a <= h < b for h in sure):
+            if sum(a <= h < b for h in hits) < 3 or 2 * sum(y - x for x, y in sure if a <= x < b) >= sum(ord(c) > 127 for c in m.group()):
                 continue
             codes = bytearray()
             for c in m.group():
