@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.llm.encodings import repair_encoding
+from ordermill.llm.mail import new_lines
 from ordermill.session import table
 
 
@@ -17,5 +18,14 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_restored(spark, d).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p10_found, p10_restored)}
+def p5_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Every visible line of every message with the kind of span that it belongs to."""
+    return new_lines(table(spark, d, "mailbox_message"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_spans(spark, d).filter("span = 'authored'").select("message_no", "line_no")
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_spans, p10_found, p10_restored)}
 ORACLES: dict[str, str] = {}
