@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.llm.catalogue import map_to_catalogue
 from ordermill.llm.encodings import repair_encoding
 from ordermill.llm.mail import new_lines
 from ordermill.session import table
@@ -27,5 +28,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_spans(spark, d).filter("span = 'authored'").select("message_no", "line_no")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_spans, p10_found, p10_restored)}
+def p6_mapped(spark: SparkSession, d: str) -> DataFrame:
+    """Every line with a code or description: its entry of materials and the edits between them."""
+    return map_to_catalogue(table(spark, d, "po_line_items"), table(spark, d, "materials"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_mapped(spark, d).select("line_id", "customer_material_number")
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
 ORACLES: dict[str, str] = {}
