@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.llm.addresses import match_addresses
 from ordermill.llm.catalogue import map_to_catalogue
 from ordermill.llm.encodings import repair_encoding
 from ordermill.llm.mail import new_lines
@@ -37,5 +38,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_mapped(spark, d).select("line_id", "customer_material_number")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Delivery and invoice addresses of the records and the address-book entries of the same place."""
+    return match_addresses(table(spark, d, "po_headers"), table(spark, d, "address_book"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
 ORACLES: dict[str, str] = {}
