@@ -8,6 +8,7 @@ from ordermill.llm.addresses import match_addresses
 from ordermill.llm.catalogue import map_to_catalogue
 from ordermill.llm.encodings import repair_encoding
 from ordermill.llm.mail import new_lines
+from ordermill.llm.names import link_customers
 from ordermill.session import table
 
 
@@ -43,5 +44,14 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return match_addresses(table(spark, d, "po_headers"), table(spark, d, "address_book"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    """Typed names of the records linked to customer numbers, with confidence."""
+    return link_customers(table(spark, d, "po_headers"), table(spark, d, "vendors"), table(spark, d, "name_alias"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_links(spark, d).select("record_id", "customer_number")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_links, p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
 ORACLES: dict[str, str] = {}
