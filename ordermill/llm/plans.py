@@ -8,7 +8,9 @@ from ordermill.llm.addresses import match_addresses
 from ordermill.llm.catalogue import map_to_catalogue
 from ordermill.llm.encodings import repair_encoding
 from ordermill.llm.mail import new_lines
+from ordermill.llm.mixing import mix_shares, mix_sources
 from ordermill.llm.names import link_customers
+from ordermill.llm.packing import pack_documents
 from ordermill.session import table
 
 
@@ -53,5 +55,20 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_links(spark, d).select("record_id", "customer_number")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_links, p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Container of every document (piece) for each capacity, and how full the container is."""
+    return pack_documents(table(spark, d, "documents"), table(spark, d, "pack_capacity"))
+
+
+def p9_selected(spark: SparkSession, d: str) -> DataFrame:
+    """Every use of a document in the mix."""
+    return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return mix_shares(p9_selected(spark, d), table(spark, d, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p8_packed, p9_selected, p9_shares, p4_found, p4_links, p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
 ORACLES: dict[str, str] = {}
