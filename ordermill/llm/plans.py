@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordermill.llm.addresses import match_addresses
 from ordermill.llm.catalogue import map_to_catalogue
 from ordermill.llm.encodings import repair_encoding
+from ordermill.llm.entities import match_entities
 from ordermill.llm.mail import new_lines
 from ordermill.llm.mixing import mix_shares, mix_sources
 from ordermill.llm.names import link_customers
@@ -70,5 +71,14 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix_shares(p9_selected(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p8_packed, p9_selected, p9_shares, p4_found, p4_links, p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Records and the rows of the customer master that describe their customer at their place, with confidence."""
+    return match_entities(table(spark, d, "po_headers"), table(spark, d, "vendors"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_matches(spark, d).select("record_id", "vendor_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p8_packed, p9_selected, p9_shares, p4_found, p4_links, p2_found, p6_found, p6_mapped, p5_found, p5_spans, p10_found, p10_restored)}
 ORACLES: dict[str, str] = {}
