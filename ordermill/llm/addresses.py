@@ -85,7 +85,7 @@ def _strokes(word: str) -> str:
 def town_form(town: str) -> str:
     """One form for a town's spellings: abbreviations written out, blanks, marks and additions dropped."""
     t = re.sub(r"\(.*?\)|/.*$| a d .*$| am .*$| an der .*$", "", folded(town))
-    words = [_SAINTS.get(w, w) for w in re.findall(r"[a-z]+", re.sub(r"\w+", _letters, t))]
+    words = [_SAINTS.get(w, w) for w in re.findall(r"[a-z]+", re.sub(r"\w+", _letters, re.sub(r"^\W*(?:'s|den|het)\b", "", t)))]
     return _strokes("".join(words))
 
 
@@ -232,7 +232,8 @@ def _near(x, y):
     """Two town forms of one town: equal, typing errors, cut off or with an addition."""
     n = F.least(F.length(x), F.length(y))
     starts = lambda a, b: (F.length(a) >= 4) & (2 * F.length(a) >= F.length(b)) & ~a.isin(*_COMMON) & b.startswith(a)
-    return (x == y) | ((n >= 5) & (F.levenshtein(x, y, 1) >= 0)) | ((n >= 8) & (F.levenshtein(x, y, 2) >= 0)) | starts(x, y) | starts(y, x)
+    initial = lambda a, b: (F.length(a) >= 7) & (F.substring(a, 1, 1) == F.substring(b, 1, 1)) & b.endswith(F.substring(a, 2, 40))
+    return (x == y) | initial(x, y) | initial(y, x) | ((n >= 5) & (F.levenshtein(x, y, 1) >= 0)) | ((n >= 8) & (F.levenshtein(x, y, 2) >= 0)) | starts(x, y) | starts(y, x)
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:

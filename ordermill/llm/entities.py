@@ -223,21 +223,28 @@ def _near_town(x: str, y: str) -> bool:
     if x == y:
         return True
     n = min(len(x), len(y))
+    if n >= 7 and x[0] == y[0] and (y.endswith(x[1:]) or x.endswith(y[1:])):
+        return True  # 'e vandermeer'
     if n >= 5 and _edits(x, y, 2) <= (2 if n >= 8 else 1):
         return True
     return n >= 6 and 2 * n >= max(len(x), len(y)) and (x.startswith(y) or y.startswith(x))
 
 
-def match_entities(headers: DataFrame, vendors: DataFrame) -> DataFrame:
+def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) -> DataFrame:
     """record_id, vendor_id, confidence: the vendors rows of the record's organisation at the place the record names.
 
-    The organisation is read from customer_id_or_name, else from the ship-to name, else from what the sender's other
+    The organisation is read from customer_id_or_name (known short names of alias stand for theirs), else from the ship-to name, else from what the sender's other
     records agree on. A record that names no place means the customer's only one. Error records, unknown customers
     and places the master doesn't list give no row; NULLs in any field and empty tables are fine.
     """
     spark = headers.sparkSession
-    blank = lambda c: F.when(~F.lower(F.trim(c)).isin("", "n/a", "none", "null", "nan", "-", "tbd", "see letterhead"), F.trim(c))
+    blank = lambda c: F.when(~F.lower(F.trim(c)).isin("", "n/a", "none", "null", "nan", "-", "#n/a", "tbd", "see letterhead"), F.trim(c))
     rec = headers.filter("error is null").select("record_id", "sender_email", blank("customer_id_or_name").alias("name"), blank("ship_to_name").alias("ship_name"), blank("ship_to_city").alias("city"), blank("ship_to_address").alias("address"), blank("ship_to_postcode").alias("postcode"))
+    # names that are short names: one canonical name or number each
+    lower = F.regexp_replace(F.lower(F.col("name")), r"( / \d+| [a-z]{2})$", "")
+    short = alias.filter("alias is not null and canonical is not null").groupBy(F.lower(F.trim("alias")).alias("short")).agg(F.max(F.when(F.col("kind") == "name", F.col("canonical"))).alias("full"), F.max(F.when(F.col("kind") == "id", F.col("canonical"))).alias("number"))
+    known_short = rec.select("name").filter("name is not null").distinct().withColumn("short", F.explode(F.array_distinct(F.array(F.lower("name"), lower, F.regexp_replace(lower, r" [a-z]{2}$", ""))))).join(short, "short").groupBy("name").agg(F.max("full").alias("full"), F.max("number").alias("number"))
+    rec = rec.join(known_short, "name", "left").withColumn("name", F.coalesce("full", "name")).drop("full")
     ven = vendors.select("vendor_id", "customer_number", blank("name").alias("name"), "ship_to", blank("ship_to_name").alias("ship_name"), blank("city").alias("city"), blank("country").alias("country"))
 
     pair = lambda f, c: F.struct(F.lit(f).alias("field"), F.col(c).alias("value"))
@@ -300,7 +307,8 @@ def match_entities(headers: DataFrame, vendors: DataFrame) -> DataFrame:
     named = rec.join(orgs.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure")
     no_name = rec.join(named.select("record_id").distinct(), "record_id", "left_anti").filter(_says_nothing("name"))
     shipped = no_name.join(orgs.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure")
-    known = named.unionByName(shipped)
+    numbered = rec.filter("number is not null").select("record_id", F.col("number").alias("customer_number"), F.lit(1.0).alias("cosine"), F.lit(False).alias("unsure"))
+    known = named.unionByName(shipped).unionByName(numbered)
     still = no_name.join(shipped.select("record_id").distinct(), "record_id", "left_anti")
     sure = known.filter("not unsure").join(rec.select("record_id", "sender_email"), "record_id").groupBy("record_id", "sender_email").agg(F.array_sort(F.collect_set("customer_number")).alias("cs"))
     habit = sure.groupBy("sender_email", "cs").agg(F.count("*").alias("n")).groupBy("sender_email").agg(F.max_by("cs", "n").alias("cs"), F.max("n").alias("n"), F.sum("n").alias("all")).filter("n >= 3 and n >= 0.95 * all")
@@ -323,7 +331,8 @@ def match_entities(headers: DataFrame, vendors: DataFrame) -> DataFrame:
         for pdf in batches:
             out = []
             for r, cos, unsure, towns, named, any_, ship, rows in zip(pdf["record_id"], pdf["cosine"], pdf["unsure"], pdf["towns"], pdf["named"], pdf["any"], pdf["ship_name"], pdf["rows"]):
-                hit = [x for x in rows if x["town"] and any(_near_town(t, x["town"]) for t in towns)]
+                # a row without a town may name it in the ship-to name
+                hit = [x for x in rows if (any(_near_town(t, x["town"]) for t in towns) if x["town"] else bool(x["v_ship"]) and any(len(t) >= 6 and t in town_form(x["v_ship"]) for t in towns))]
                 strength = 1.0
                 if not hit and ship:
                     st, _ = parse_name(ship)

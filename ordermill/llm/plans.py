@@ -73,7 +73,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_matches(spark: SparkSession, d: str) -> DataFrame:
     """Records and the rows of the customer master that describe their customer at their place, with confidence."""
-    return match_entities(table(spark, d, "po_headers"), table(spark, d, "vendors"))
+    return match_entities(table(spark, d, "po_headers"), table(spark, d, "vendors"), table(spark, d, "name_alias"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
