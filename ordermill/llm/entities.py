@@ -24,13 +24,13 @@ from ordermill.llm.names import MARGIN, NAME, _contradict, _edits, agree, grams,
 from ordermill.session import cut
 
 #: Rows of the vector table (tokens are hashed to them) and their length: the model's size, whatever the data's.
-ROWS, DIM = 1 << 15, 64
+ROWS, DIM = 1 << 15, 96
 #: Hash tables, and entries a bucket should hold; the number of bits follows the size of the index.
-TABLES, LOAD = 20, 24
+TABLES, LOAD = 16, 24
 #: Bits whose flips are looked up too: those nearest to their hyperplane.
 FLIPS = 4
 #: Least cosine of a candidate.
-CANDIDATE = 0.42
+CANDIDATE = 0.38
 #: Values that a token keeps as neighbours for walks (the search doesn't use them).
 NEIGHBOURS = 16
 WALKS, STEPS, WINDOW, NEGATIVE, RATE = 2, 3, 4, 4, 0.03
@@ -43,10 +43,10 @@ def _bucket(token: str) -> int:
 
 
 def value_tokens(field: str, value: str) -> list[str]:
-    """Tokens of an attribute value: words and trigrams of names, forms of places."""
+    """Tokens of an attribute value: trigrams of the words of a name (words too short for them as they are), forms of places."""
     if field == "name":
         words, _ = parse_name(value)
-        return [f"w:{w}" for w in words] + [f"g:{g}" for g in grams(tuple(words))]
+        return [f"g:{g}" for g in grams(tuple(words))] or [f"w:{w}" for w in words]
     if field == "city":
         t = town_form(value)
         return [f"c:{t}", *(f"t:{t[i : i + 3]}" for i in range(len(t) - 2))] if t else []
@@ -132,7 +132,7 @@ def skip_gram(walks: DataFrame, seed: int = 5) -> np.ndarray:
     return vectors - vectors.mean(0)
 
 
-def _vectors(buckets: pd.Series, table: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def _sums(buckets: pd.Series, table: np.ndarray, weight: np.ndarray) -> np.ndarray:
     out = np.zeros((len(buckets), DIM), "float32")
     for i, b in enumerate(buckets):
         b = np.asarray(b)
@@ -140,6 +140,42 @@ def _vectors(buckets: pd.Series, table: np.ndarray, weight: np.ndarray) -> np.nd
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
+def _vectors(buckets: pd.Series, table: np.ndarray, weight: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    out = _sums(buckets, table, weight) - mean
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def isotropic(values: DataFrame, table: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The table turned so that the values' vectors have no favoured direction, and their mean.
+
+    Skip-gram vectors share a few strong directions; without this all cosines are high and hyperplanes don't divide.
+    Moments are summed over all values, within partitions first.
+    """
+
+    def moments(table: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        shared = values.sparkSession.sparkContext.broadcast((table, weight))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total, outer, n = np.zeros(DIM), np.zeros((DIM, DIM)), 0
+            for pdf in batches:
+                v = _sums(pdf["buckets"], *shared.value).astype("float64")
+                total, outer, n = total + v.sum(0), outer + v.T @ v, n + len(v)
+            flat = np.concatenate([[n], total, outer.ravel()])
+            yield pd.DataFrame({"at": np.arange(len(flat)), "x": flat})
+
+        x = values.select("buckets").mapInPandas(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toPandas().sort_values("at")["x"].to_numpy()
+        if not len(x) or x[0] < 2:
+            return 0, np.zeros(DIM), np.eye(DIM)
+        return x[0], x[1 : DIM + 1] / x[0], x[DIM + 1 :].reshape(DIM, DIM) / x[0]
+
+    n, mean, outer = moments(table)
+    if n < 2 * DIM:
+        return table, np.zeros(DIM, "float32")
+    e, u = np.linalg.eigh(outer - np.outer(mean, mean))
+    turned = (table @ (u @ np.diag((np.maximum(e, 0) + 1e-6) ** -0.5) @ u.T)).astype("float32")
+    return turned, moments(turned)[1].astype("float32")
+
+
 def _planes(bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(TABLES, bits, DIM)).astype("float32")
 
@@ -156,11 +192,10 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
 
     def hashed(side: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            table, weight = model.value
             planes = _planes(bits, seed)
             for pdf in batches:
-                v = _vectors(pdf["buckets"], table, weight)
-                q = np.clip(np.round(v * 127 * 2.5), -127, 127).astype("int8")
+                v = _vectors(pdf["buckets"], *model.value)
+                q = np.clip(np.round(v * 300), -127, 127).astype("int8")
                 first = (np.einsum("nd,tbd->ntb", v, planes[:, :coarse]) > 0) @ (1 << np.arange(coarse)) if coarse else np.zeros((len(v), TABLES), int)
                 salt = pdf["value"].map(lambda s: xxhash.xxh32_intdigest(s) % 2).to_numpy()
                 for t in range(TABLES):
@@ -211,12 +246,12 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
 
 
 def _weights(tokens: DataFrame) -> tuple[np.ndarray, int]:
-    """Weight of each row: the rarer among the master's values, the more; squared, so that rare trigrams lead."""
+    """Weight of each row: the rarer among the master's values, the more."""
     n = tokens.count()
     counts = np.zeros(ROWS)
     for r in tokens.select(F.explode("buckets").alias("b")).groupBy("b").count().toLocalIterator():
         counts[r["b"]] = r["count"]
-    return (np.log(1 + max(n, 1) / (1 + counts)) ** 1.5).astype("float32"), n
+    return np.log(1 + max(n, 1) / (1 + counts)).astype("float32"), n
 
 
 def _near_town(x: str, y: str) -> bool:
@@ -258,7 +293,8 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     names = tokens.filter("field = 'name'").select("value", "buckets")
     right = names.join(master_values.withColumnRenamed("name", "value"), "value", "left_semi")
     weight, n = _weights(right)
-    model = spark.sparkContext.broadcast((table, weight))
+    table, mean = isotropic(right, table, weight)
+    model = spark.sparkContext.broadcast((table, weight, mean))
     typed = rec.select(F.inline(F.array(F.struct("name"), F.struct(F.col("ship_name").alias("name"))))).filter("name is not null").distinct()
     left = names.join(typed.withColumnRenamed("name", "value"), "value", "left_semi")
     bits = max(4, math.ceil(math.log2(max(n, 2) / LOAD)))
