@@ -24,7 +24,7 @@ from ordermill.llm.names import MARGIN, NAME, _contradict, _edits, agree, grams,
 from ordermill.session import cut
 
 #: Rows of the vector table (tokens are hashed to them) and their length: the model's size, whatever the data's.
-ROWS, DIM = 1 << 15, 96
+ROWS, DIM = 1 << 14, 96
 #: Hash tables, and entries a bucket should hold; the number of bits follows the size of the index.
 TABLES, LOAD = 16, 24
 #: Bits whose flips are looked up too: those nearest to their hyperplane.
@@ -122,13 +122,21 @@ def skip_gram(walks: DataFrame, seed: int = 5) -> np.ndarray:
                 np.add.at(inner, x, RATE * gx)
                 np.add.at(seen, x, 1)
         rows = np.flatnonzero(seen)
-        yield pd.DataFrame({"row": rows.astype("int32"), "n": seen[rows], "vector": list(inner[rows] * seen[rows, None])})
-
-    total = walks.mapInPandas(train, "row int, n long, vector array<float>")
-    mean = total.groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(F.get("vector", F.lit(i))).alias(f"v{i}") for i in range(DIM)]).toPandas()
+        yield pd.DataFrame({"row": rows.astype("int32"), "n": seen[rows], "vector": [x.tobytes() for x in inner[rows] * seen[rows, None].astype("float32")]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = np.frombuffer(b"".join(pdf["vector"]), "float32").reshape(-1, DIM)
+        rows, at = np.unique(pdf["row"], return_inverse=True)
+        total, n = np.zeros((len(rows), DIM), "float32"), np.zeros(len(rows), "int64")
+        np.add.at(total, at, v)
+        np.add.at(n, at, pdf["n"].to_numpy())
+        return pd.DataFrame({"row": rows.astype("int32"), "vector": [x.tobytes() for x in total / np.maximum(n, 1)[:, None]]})
+
+    parts = walks.mapInPandas(train, "row int, n long, vector binary")
+    mean = parts.groupBy(F.col("row") % 64).applyInPandas(add, "row int, vector binary").toPandas()
     vectors = np.random.default_rng(seed).normal(0, 1 / math.sqrt(DIM), (ROWS, DIM)).astype("float32")
     if len(mean):
-        vectors[mean["row"]] = (mean[[f"v{i}" for i in range(DIM)]].to_numpy() / mean["n"].to_numpy()[:, None]).astype("float32")
+        vectors[mean["row"].to_numpy()] = np.frombuffer(b"".join(mean["vector"]), "float32").reshape(-1, DIM)
     return vectors - vectors.mean(0)
 
 
