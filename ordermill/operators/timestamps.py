@@ -135,14 +135,17 @@ def format_mixtures(read: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     read has source, _mask, date_order and time_zone (both NULL where the region is unknown). The region's order of
     the source's other records is the prior; one fold over eight counts is the whole EM.
     """
-    known = F.count_if(F.col("date_order").isNotNull())
-    agg = read.groupBy("source").agg(
-        *[F.count_if(F.col("_mask") == m).cast("double").alias(f"m{m}") for m in range(1, 8)],
-        *[F.count_if(F.col("date_order") == o).cast("double").alias(f"r_{o.lower()}") for o in ORDERS],
-        known.cast("double").alias("known"),
+    by_zone = read.groupBy("source", "time_zone").agg(
+        *[F.count_if(F.col("_mask") == m).alias(f"m{m}") for m in range(1, 8)],
+        *[F.count_if(F.col("date_order") == o).alias(f"r_{o.lower()}") for o in ORDERS],
+        F.count_if(F.col("date_order").isNotNull()).alias("known"),
+    )
+    sums = [f"m{m}" for m in range(1, 8)] + [f"r_{o.lower()}" for o in ORDERS] + ["known"]
+    agg = by_zone.groupBy("source").agg(
+        *[F.sum(c).cast("double").alias(c) for c in sums],
+        F.max_by("time_zone", F.when(F.col("time_zone").isNotNull(), F.struct("known", "time_zone"))).alias("zone"),
+        (F.max(F.when(F.col("time_zone").isNotNull(), F.col("known"))) / F.sum("known")).alias("zone_share"),
     )
-    zones = read.filter("time_zone is not null").groupBy("source", "time_zone").agg(F.count("*").alias("n"))
-    zones = zones.groupBy("source").agg((F.max("n") / F.sum("n")).alias("share"), F.max_by("time_zone", F.struct("n", "time_zone")).alias("zone")).filter(F.col("share") >= SURE).select("source", "zone")
     total = F.col("known") + 3e-3
     start = F.array(*[(F.col(f"r_{o.lower()}") + 1e-3) / total for o in ORDERS])
 
@@ -156,8 +159,9 @@ def format_mixtures(read: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         n = sum((F.col(f"m{m}") for m in range(2, 8)), F.col("m1"))
         return F.array(*[(mass[k] + start[k] * 2.0) / (n + 2.0) for k in range(3)])
 
-    weights = agg.select("source", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step).alias("w"))
-    return weights.select("source", *[F.col("w")[k].alias(f"w_{o.lower()}") for k, o in enumerate(ORDERS)]).join(zones, "source", "left")
+    zone = F.when(F.col("zone_share") >= SURE, F.col("zone")).alias("zone")
+    weights = agg.select("source", zone, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step).alias("w"))
+    return weights.select("source", "zone", *[F.col("w")[k].alias(f"w_{o.lower()}") for k, o in enumerate(ORDERS)])
 
 
 def _java_zones(spark) -> list[str]:
@@ -174,26 +178,23 @@ def normalize_timestamps(values: DataFrame) -> DataFrame:
     are kept; an empty table gives an empty result.
     """
     others = [c for c in values.columns if c not in ("source", "value", "date_order", "time_zone")]
-    read = read_timestamps(values).drop("value").withColumn("source", F.coalesce("source", F.lit("")))
-    # Every order but the region's has a prior of DOUBT there: rows with a known region need no weights of their source.
+    values = values.withColumn("source", F.coalesce("source", F.lit("")))
+    # In a known region every order but its own has a prior of DOUBT: its order decides wherever it fits, whatever the
+    # source's weights. So only the rows without a region, told apart before their texts are read, meet the mixtures.
     own = _map(ORDERS)[F.col("date_order")]
     single = F.col("_mask").isin(DMY, MDY, YMD)
-    needs_zone = F.col("_time").isNotNull() & (F.col("_zone") == "")
-    fits = F.col("_mask").bitwiseAND(own) > 0
-    settled = (single | F.coalesce(fits, F.lit(False))) & (~needs_zone | F.col("time_zone").isNotNull())
-    read = read.withColumn("_settled", settled)
-    mixtures = format_mixtures(read)
-    done = read.filter("_settled").withColumns({
-        "_order": F.when(single, F.col("_mask")).otherwise(own), "_zone_of": F.col("time_zone"),
-        "_post": F.when(single, 1.0).otherwise(1 - DOUBT),
+    fits = F.coalesce(F.col("_mask").bitwiseAND(own) > 0, F.lit(False))
+    done = read_timestamps(values.filter("date_order is not null")).drop("value").withColumns({
+        "_order": F.when(single, F.col("_mask")).when(fits, own).otherwise(F.col("_mask").bitwiseAND(-F.col("_mask"))), "_zone_of": F.col("time_zone"),
+        "_post": F.when(single, 1.0).when(fits, 1 - DOUBT).otherwise(0.5),
     })
-    prior = lambda o: F.when(F.col("date_order").isNull(), 1.0).when(F.col("date_order") == o, 1 - DOUBT).otherwise(DOUBT / 2)
-    weight = lambda o: F.when(F.col("_mask").bitwiseAND(ORDERS[o]) > 0, F.coalesce(F.col(f"w_{o.lower()}"), F.lit(1 / 3)) * prior(o)).otherwise(0.0)
+    mixtures = format_mixtures(read_timestamps(values.select("source", "value", "date_order", "time_zone")))
+    weight = lambda o: F.when(F.col("_mask").bitwiseAND(ORDERS[o]) > 0, F.coalesce(F.col(f"w_{o.lower()}"), F.lit(1 / 3))).otherwise(0.0)
     # the readings of one text may fall on the same day; their weights add up
     same = lambda o, p: F.when(_day(F.lit(ORDERS[o])) == _day(F.lit(ORDERS[p])), weight(p)).otherwise(0.0)
     scored = [F.struct(sum((same(o, p) for p in ORDERS if p != o), weight(o)).alias("w"), F.lit(b).alias("o")) for o, b in ORDERS.items()]
     total = sum((weight(o) for o in ORDERS), F.lit(0.0))
-    rest = read.filter("not _settled").join(mixtures, "source", "left")
+    rest = read_timestamps(values.filter("date_order is null")).drop("value").join(mixtures, "source", "left")
     best = F.array_max(F.filter(F.array(*scored), lambda x: F.col("_mask").bitwiseAND(x["o"]) > 0))
     rest = rest.withColumn("_best", best).withColumns({
         "_post": F.least(F.col("_best")["w"] / total, F.lit(1.0)), "_order": F.col("_best")["o"], "_zone_of": F.coalesce("time_zone", "zone"),
