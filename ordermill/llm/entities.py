@@ -130,7 +130,7 @@ def skip_gram(walks: DataFrame, seed: int = 5) -> np.ndarray:
         total, n = np.zeros((len(rows), DIM), "float32"), np.zeros(len(rows), "int64")
         np.add.at(total, at, v)
         np.add.at(n, at, pdf["n"].to_numpy())
-        return pd.DataFrame({"row": rows.astype("int32"), "vector": [x.tobytes() for x in total / np.maximum(n, 1)[:, None]]})
+        return pd.DataFrame({"row": rows.astype("int32"), "vector": [x.tobytes() for x in (total / np.maximum(n, 1)[:, None]).astype("float32")]})
 
     parts = walks.mapInPandas(train, "row int, n long, vector binary")
     mean = parts.groupBy(F.col("row") % 64).applyInPandas(add, "row int, vector binary").toPandas()

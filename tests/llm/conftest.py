@@ -1,0 +1,13 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parents[2]))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from ordermill.session import local_session
+
+    return local_session(cores=4, shuffle_partitions=4)
