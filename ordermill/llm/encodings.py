@@ -166,6 +166,23 @@ def trigram_patterns(seen: dict[str, int]) -> dict[str, list[tuple[str, str, int
     return found
 
 
+# First bytes of the frequent characters in each encoding.
+_FREQUENT = {"gb18030": (0xB0, 0xD7), "euc-jp": (0xB0, 0xCF), "shift_jis": (0x88, 0x97), "big5": (0xA4, 0xC6)}
+
+
+def _usual(text: str, source: str) -> float:
+    """How much a text looks like one in the languages of an East Asian encoding: share of its frequent characters."""
+    chars = _WIDE.findall(text)
+    marks = sum("　" <= c <= "〿" or "！" <= c <= "｠" for c in chars)
+    kana, hangul = sum("぀" <= c <= "ヿ" for c in chars), sum("가" <= c <= "힣" for c in chars)
+    if source == "euc-kr":
+        return (hangul + marks) / len(chars) - (0.5 if hangul + marks < len(chars) else 0) if chars else 0.0
+    low, high = _FREQUENT[source]
+    frequent = sum("⺀" <= c <= "鿿" and low <= c.encode(source, "replace")[0] <= high for c in chars)
+    share = (frequent + kana + marks) / len(chars) if chars else 0.0
+    return share - (0.5 if (source in ("euc-jp", "shift_jis")) != (kana > 0.15 * len(chars)) else 0)
+
+
 class Matcher:
     """The automaton over all patterns; made once in each worker."""
 
@@ -249,9 +266,9 @@ class Matcher:
                     except UnicodeDecodeError:
                         continue
                     n = len(_WIDE.findall(right))
-                    kana = len(re.findall("[぀-ヿ가-힣、。，]", right))
-                    if n >= 3 and n >= 0.9 * sum(ord(c) > 127 for c in right) and (best is None or (kana, -len(right)) > best[0]):
-                        best = (kana, -len(right)), right
+                    usual = _usual(right, source)
+                    if n >= 3 and n >= 0.9 * sum(ord(c) > 127 for c in right) and (best is None or (usual, -len(right)) > best[0]):
+                        best = (usual, -len(right)), right
                 if best:
                     found.append((a, b, best[1]))
         return found
@@ -368,6 +385,8 @@ def repair_encoding(documents: DataFrame, key: str = "doc_id", text: str = "text
                     _MATCHERS[made] = matcher
             done = [matcher.restore(t) for t in pdf["t"]]
             keep = [g for g, _ in done]
+            if not any(keep):
+                continue  # an empty column has no type that Arrow takes for text
             out = pdf.loc[keep, ["k"]].assign(original=[t for g, t in done if g])
             yield out.assign(restored=[LOST not in t for t in out["original"]])
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.addresses import _COUNTRY_OF, parse_address, town_form
 from ordermill.llm.addresses import folded as folded_place
-from ordermill.llm.names import MARGIN, NAME, _contradict, _edits, agree, grams, parse_name
+from ordermill.llm.names import MARGIN, NAME, TOKEN, _contradict, _edits, agree, grams, parse_name, token_similarity
 from ordermill.session import cut
 
 #: Rows of the vector table (tokens are hashed to them) and their length: the model's size, whatever the data's.
@@ -243,10 +243,10 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
             starts = np.repeat(lo.ravel(), n.ravel())
             inside = np.arange(len(starts)) - np.repeat(np.cumsum(n.ravel()) - n.ravel(), n.ravel())
             j = order[starts + inside]
-            for s in range(0, len(i), 200_000):
-                cos = np.einsum("nd,nd->n", vx[i[s : s + 200_000]], vy[j[s : s + 200_000]])
+            for s in range(0, len(i), 40_000):
+                cos = np.einsum("nd,nd->n", vx[i[s : s + 40_000]], vy[j[s : s + 40_000]])
                 k = cos >= CANDIDATE
-                found.append(pd.DataFrame({"a": part["value"].to_numpy()[i[s : s + 200_000][k]], "b": names[j[s : s + 200_000][k]], "cosine": cos[k]}))
+                found.append(pd.DataFrame({"a": part["value"].to_numpy()[i[s : s + 40_000][k]], "b": names[j[s : s + 40_000][k]], "cosine": cos[k]}))
         return pd.concat(found, ignore_index=True) if found else none
 
     met = a.groupBy("key").cogroup(b.groupBy("key")).applyInPandas(meet, "a string, b string, cosine float")
@@ -287,7 +287,8 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     lower = F.regexp_replace(F.lower(F.col("name")), r"( / \d+| [a-z]{2})$", "")
     short = alias.filter("alias is not null and canonical is not null").groupBy(F.lower(F.trim("alias")).alias("short")).agg(F.max(F.when(F.col("kind") == "name", F.col("canonical"))).alias("full"), F.max(F.when(F.col("kind") == "id", F.col("canonical"))).alias("number"))
     known_short = rec.select("name").filter("name is not null").distinct().withColumn("short", F.explode(F.array_distinct(F.array(F.lower("name"), lower, F.regexp_replace(lower, r" [a-z]{2}$", ""))))).join(short, "short").groupBy("name").agg(F.max("full").alias("full"), F.max("number").alias("number"))
-    rec = rec.join(known_short, "name", "left").withColumn("name", F.coalesce("full", "name")).drop("full")
+    # read by many steps: written once, so that their plans stay short
+    rec = cut(rec.join(known_short, "name", "left").withColumn("name", F.coalesce("full", "name")).drop("full"))
     ven = vendors.select("vendor_id", "customer_number", blank("name").alias("name"), "ship_to", blank("ship_to_name").alias("ship_name"), blank("city").alias("city"), blank("country").alias("country"))
 
     pair = lambda f, c: F.struct(F.lit(f).alias("field"), F.col(c).alias("value"))
@@ -317,47 +318,54 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weight, rare = shared.value
         for pdf in batches:
-            s = []
+            s, loose = [], []
             for a, b in zip(pdf["a"], pdf["b"]):
                 (ta, fa), (tb, fb) = parse_name(a), parse_name(b)
                 v = agree(ta, tb, weight, rare)
+                loose.append(v < NAME)
+                if v < NAME and len(ta) > 1:
+                    # a ship-to name may go on with words for the place: they count only where they fit
+                    part = tuple(t for t in ta if any(token_similarity(t, x) >= TOKEN for x in tb))
+                    v = agree(part, tb, weight, rare) if part and part[0] == ta[0] else 0.0
                 s.append(v + (0.04 if fa == fb else -0.06) if v and fa and fb else v)
-            out = pdf.assign(score=s)
+            out = pdf.assign(score=s, loose=loose)
             yield out[out["score"] >= NAME]
 
-    verified = cut(by_name.mapInPandas(verify, "a string, b string, cosine float, score double"))
-    lists = verified.groupBy("a").agg(F.collect_list(F.struct("score", "b", "cosine")).alias("c"))
+    verified = cut(by_name.mapInPandas(verify, "a string, b string, cosine float, score double, loose boolean"))
+    lists = verified.groupBy("a", "loose").agg(F.collect_list(F.struct("score", "b", "cosine")).alias("c"))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weight, rare = shared.value
         for pdf in batches:
             rows = []
-            for a, c in zip(pdf["a"], pdf["c"]):
+            for a, loose, c in zip(pdf["a"], pdf["loose"], pdf["c"]):
                 c = sorted(((x["score"], x["b"], x["cosine"], *parse_name(x["b"])) for x in c), key=lambda x: (-x[0], -len(x[3]), x[1]))
                 near = [x for x in c if x[0] >= c[0][0] - MARGIN]
                 head = max((x for x in near if x[0] >= c[0][0] - 0.03), key=lambda x: (len(x[3]), x[0], x[1]))
                 same = [x for x in near if not _contradict(head[3], x[3], head[4], x[4], weight, rare)]
-                group = [(a, x[1], float(x[2])) for x in same]
+                group = [(a, loose, x[1], float(x[2])) for x in same]
                 unsure = any(x not in same and x[0] >= c[0][0] - 0.03 for x in near)
                 rows += [(*g, unsure) for g in group]
                 if unsure:
-                    rows += [(a, x[1], float(x[2]), True) for x in near if x not in same and x[0] >= c[0][0] - 0.03]
-            yield pd.DataFrame(rows, columns=["a", "b", "cosine", "unsure"])
+                    rows += [(a, loose, x[1], float(x[2]), True) for x in near if x not in same and x[0] >= c[0][0] - 0.03]
+            yield pd.DataFrame(rows, columns=["a", "loose", "b", "cosine", "unsure"])
 
-    decided = lists.mapInPandas(decide, "a string, b string, cosine double, unsure boolean")
-    orgs = cut(decided.join(owners, "b").groupBy("a", "customer_number").agg(F.max("cosine").alias("cosine"), F.max("unsure").alias("unsure")))
+    decided = lists.mapInPandas(decide, "a string, loose boolean, b string, cosine double, unsure boolean")
+    orgs = cut(decided.join(owners, "b").groupBy("a", "loose", "customer_number").agg(F.max("cosine").alias("cosine"), F.max("unsure").alias("unsure")))
 
     # customers of each record: by its name, else by the ship-to name, else by the sender's habit
-    named = rec.join(orgs.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure")
+    strict = orgs.filter("not loose").drop("loose")
+    in_ship = strict.unionByName(orgs.filter("loose").drop("loose").join(strict.select("a").distinct(), "a", "left_anti"))
+    named = rec.join(strict.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure")
     no_name = rec.join(named.select("record_id").distinct(), "record_id", "left_anti").filter(_says_nothing("name"))
-    shipped = no_name.join(orgs.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure")
+    shipped = no_name.join(in_ship.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure")
     numbered = rec.filter("number is not null").select("record_id", F.col("number").alias("customer_number"), F.lit(1.0).alias("cosine"), F.lit(False).alias("unsure"))
     known = named.unionByName(shipped).unionByName(numbered)
     still = no_name.join(shipped.select("record_id").distinct(), "record_id", "left_anti")
     sure = known.filter("not unsure").join(rec.select("record_id", "sender_email"), "record_id").groupBy("record_id", "sender_email").agg(F.array_sort(F.collect_set("customer_number")).alias("cs"))
     habit = sure.groupBy("sender_email", "cs").agg(F.count("*").alias("n")).groupBy("sender_email").agg(F.max_by("cs", "n").alias("cs"), F.max("n").alias("n"), F.sum("n").alias("all")).filter("n >= 3 and n >= 0.95 * all")
     by_sender = still.join(habit.select("sender_email", "cs"), "sender_email").select("record_id", F.explode("cs").alias("customer_number"), F.lit(CANDIDATE).alias("cosine"), F.lit(False).alias("unsure"))
-    customers = known.unionByName(by_sender)
+    customers = cut(known.unionByName(by_sender))
 
     # places: towns a record names against the towns of the customer's rows
     place = rec.select("record_id", F.md5(F.to_json(F.struct("ship_name", "city", "address", "postcode"))).alias("p"), "ship_name", "city", "address", "postcode")
@@ -395,7 +403,7 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     # a name that fits several organisations counts where only one of them has the place
     one = chosen.filter("unsure").groupBy("record_id").agg(F.count_distinct("ship_to").alias("n")).filter("n = 1").select("record_id")
     kept = chosen.filter("not unsure").unionByName(chosen.filter("unsure").join(one, "record_id", "left_semi"))
-    slope, level = _calibrate(verified)
+    slope, level = _calibrate(verified.filter("not loose"))
     score = (F.lit(1.0) / (1.0 + F.exp(-(F.col("cosine") * slope + level)))) * F.col("strength")
     return kept.groupBy("record_id", "vendor_id").agg(F.max(score).alias("confidence"))
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import entities as E
 
 VENDORS = [(1, "c1", "Preixdicherk Automotive LLC", "s1", "Preixdicherk Warehouse", "Saint Coralie", "US"), (2, "c1", "PREIXDICHERK AUTOMOTIVE", "s2", "Preixdicherk Plant", "Port Merrion", "US"), (3, "c1", "Preixdicherk Autom. LLC", "s1", "Preixdicherk Whs.", None, "USA"), (4, "c2", "Tebiaskeilt Moulding Co., Ltd.", "s3", "Tebiaskeilt Lager Gyeonduk-ri", "Gyeonduk-ri", "KR"), (5, "c3", "Jevabox Packaging Inc.", "s4", "Jevabox", "Velmünde", "DE"), (6, "c3b", "Jevabox Packaging", "s4", "Jevabox", "Velmünde", "DE"), (7, None, None, None, None, None, None)]
-OTHERS = [(100 + i, f"o{i}", f"{a}{b}kro {k}", f"t{i}", f"{a}{b}kro Werk", c, "DE") for i, (a, b, k, c) in enumerate((a, b, k, c) for a in ("Blan", "Dro", "Stir", "Mel", "Vort", "Quin", "Zast") for b in ("dusk", "feld", "garn", "helz", "jork") for k, c in (("Folien AG", "Brakenau"), ("Cables SA", "Tessendorn")))]
+OTHERS = [(100 + i, f"o{i}", f"{a}{b}kro {k}", f"t{i}", f"{a}{b}kro Werk", c, "DE") for i, (a, b, k, c) in enumerate((a, b, k, c) for a in ("Blan", "Dro", "Stir", "Mel", "Vort", "Quin", "Zast") for b in ("dusk", "feld", "garn", "helz", "jork") for k, c in (("Folien AG", "Brakenau"), ("Moulding SA", "Tessendorn"), ("Packaging Ltd", "Brakenau"), ("Automotive AG", "Tessendorn")))]
 HEADERS = [
     (1, "a@x", "Preixdicherk Automotive", None, "St. Coralie", None, None, None, {1, 3}), (2, "a@x", "Preixdicherk Autmotive LLC / 99006", "Preixdicherk Plant", None, "61 Gliakihous Blvd, Port Merrion 15820", None, None, {2}),
     (3, "a@x", "Preixdicherk LLC", None, "Kelsbury", None, None, None, set()), (4, "b@x", "Tebiaskeilt Moulding", None, None, None, None, None, {4}), (5, "b@x", "K-1234", "Tebiaskeilt Lager Gyeonduk-ri", None, None, None, None, {4}),
