@@ -267,7 +267,7 @@ class Matcher:
                         continue
                     n = len(_WIDE.findall(right))
                     usual = _usual(right, source)
-                    if n >= 3 and n >= 0.9 * sum(ord(c) > 127 for c in right) and (best is None or (usual, -len(right)) > best[0]):
+                    if n >= 3 and usual >= 0.5 and n >= 0.9 * sum(ord(c) > 127 for c in right) and (best is None or (usual, -len(right)) > best[0]):
                         best = (usual, -len(right)), right
                 if best:
                     found.append((a, b, best[1]))
