@@ -193,7 +193,7 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
     cosine is CANDIDATE at least.
 
     Vectors travel as bytes with the first bits of their code as key; inside a group the full codes, and those with
-    one of the FLIPS least certain bits turned, meet the index. bits grows with the index, so buckets keep their size.
+    one of the FLIPS least certain bits turned, meet the index; each pair comes from the first table it meets in. bits grows with the index, so buckets keep their size.
     Left values are dealt to salted groups, so a frequent code doesn't fill one task.
     """
     coarse = max(0, min(bits - 3, 4))
@@ -204,6 +204,7 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
             for pdf in batches:
                 v = _vectors(pdf["buckets"], *model.value)
                 q = np.clip(np.round(v * 300), -127, 127).astype("int8")
+                v = q.astype("float32") / (np.linalg.norm(q.astype("float32"), axis=1, keepdims=True) + 1e-9)
                 first = (np.einsum("nd,tbd->ntb", v, planes[:, :coarse]) > 0) @ (1 << np.arange(coarse)) if coarse else np.zeros((len(v), TABLES), int)
                 salt = pdf["value"].map(lambda s: xxhash.xxh32_intdigest(s) % 2).to_numpy()
                 for t in range(TABLES):
@@ -220,37 +221,45 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
         none = pd.DataFrame({"a": pd.Series(dtype="object"), "b": pd.Series(dtype="object"), "cosine": pd.Series(dtype="float32")})
         if not len(x) or not len(y):
             return none
-        planes = _planes(bits, seed)[int(x["key"].iloc[0]) // 2 // 64]
-        names = y["value"].to_numpy()
-        vy = np.frombuffer(b"".join(y["vector"]), "int8").reshape(-1, DIM).astype("float32")
-        vy /= np.linalg.norm(vy, axis=1, keepdims=True) + 1e-9
+        number = int(x["key"].iloc[0]) // 2 // 64
+        planes = _planes(bits, seed)[: number + 1]
         power = 1 << np.arange(bits)
-        code = ((vy @ planes.T) > 0) @ power
-        order = np.argsort(code, kind="stable")
-        sorted_code = code[order]
+
+        def unit(raw: pd.Series) -> np.ndarray:
+            v = np.frombuffer(b"".join(raw), "int8").reshape(-1, DIM).astype("float32")
+            return v / (np.linalg.norm(v, axis=1, keepdims=True) + 1e-9)
+
+        names, vy = y["value"].to_numpy(), unit(y["vector"])
+        # codes in this table and the ones before it: a pair that meets there already isn't reported again
+        codes = (np.einsum("nd,tbd->ntb", vy, planes) > 0) @ power
+        order = np.argsort(codes[:, -1], kind="stable")
+        sorted_code = codes[order, -1]
         found = []
         for at in range(0, len(x), 2048):
-            part = x.iloc[at : at + 2048]
-            vx = np.frombuffer(b"".join(part["vector"]), "int8").reshape(-1, DIM).astype("float32")
-            vx /= np.linalg.norm(vx, axis=1, keepdims=True) + 1e-9
-            far = vx @ planes.T
+            part = x["value"].to_numpy()[at : at + 2048]
+            vx = unit(x["vector"].iloc[at : at + 2048])
+            far = np.einsum("nd,tbd->ntb", vx, planes)
             own = (far > 0) @ power
-            weak = np.argsort(np.abs(far[:, coarse:]), axis=1)[:, :FLIPS] + coarse
-            asked = np.concatenate([own[:, None], own[:, None] ^ (1 << weak)], axis=1)
-            lo, hi = np.searchsorted(sorted_code, asked, "left"), np.searchsorted(sorted_code, asked, "right")
+            weak = np.argsort(np.abs(far[:, :, coarse:]), axis=2)[:, :, :FLIPS] + coarse
+            asked = np.concatenate([own[:, :, None], own[:, :, None] ^ (1 << weak)], axis=2)
+            now = asked[:, -1]
+            lo, hi = np.searchsorted(sorted_code, now, "left"), np.searchsorted(sorted_code, now, "right")
             n = hi - lo
             i = np.repeat(np.arange(len(part)), n.sum(1))
             starts = np.repeat(lo.ravel(), n.ravel())
             inside = np.arange(len(starts)) - np.repeat(np.cumsum(n.ravel()) - n.ravel(), n.ravel())
             j = order[starts + inside]
             for s in range(0, len(i), 40_000):
-                cos = np.einsum("nd,nd->n", vx[i[s : s + 40_000]], vy[j[s : s + 40_000]])
+                ii, jj = i[s : s + 40_000], j[s : s + 40_000]
+                cos = np.einsum("nd,nd->n", vx[ii], vy[jj])
                 k = cos >= CANDIDATE
-                found.append(pd.DataFrame({"a": part["value"].to_numpy()[i[s : s + 40_000][k]], "b": names[j[s : s + 40_000][k]], "cosine": cos[k]}))
+                ii, jj, cos = ii[k], jj[k], cos[k]
+                before = (asked[ii, :-1] == codes[jj, :-1, None]).any((1, 2))
+                found.append(pd.DataFrame({"a": part[ii[~before]], "b": names[jj[~before]], "cosine": cos[~before]}))
         return pd.concat(found, ignore_index=True) if found else none
 
     met = a.groupBy("key").cogroup(b.groupBy("key")).applyInPandas(meet, "a string, b string, cosine float")
-    return met.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    return met
 
 
 def _weights(tokens: DataFrame) -> tuple[np.ndarray, int]:
