@@ -19,15 +19,16 @@ from pyspark.sql import functions as F
 
 from ordermill.session import cut
 
-# Street types by class. A type stands behind the name, before it, or is the end of its word.
+# Street types by class, single words first, phrases behind bars. A type stands behind the name, before
+# it, or is the end of its word.
 _BEHIND = {
     "str": "strasse str street", "platz": "platz pl place plein", "allee": "allee all", "weg": "weg wg", "road": "road rd", "st": "street st", "av": "avenue ave av aven", "blvd": "boulevard blvd bvd",
-    "lane": "lane ln", "drive": "drive dr", "way": "way", "ind": "industrial park|industrial pk|ind park|ind pk|industriepark|industrial estate|ind est",
+    "lane": "lane ln", "drive": "drive dr", "way": "way", "ind": "|industrial park|industrial pk|ind park|ind pk|industriepark|industrial estate|ind est",
     "straat": "straat", "laan": "laan ln", "gasse": "gasse g", "ring": "ring", "kade": "kade", "marg": "marg",
 }
 _BEFORE = {
     "rue": "rue r", "av": "avenue avenida ave av avda avd", "blvd": "boulevard blvd bvd bd bld", "allee": "allee all", "platz": "place plaza praca piazza plac pl", "chemin": "chemin ch", "route": "route rte",
-    "via": "via v", "viale": "viale|v le|vle", "corso": "corso|c so|cso", "calle": "calle c cl", "polind": "poligono industrial|pol ind|pol industrial|poligono ind|p i", "paseo": "paseo|p o", "rua": "rua r", "ul": "ulica ul", "al": "aleja al aleje", "largo": "largo", "zi": "zona industrial|zone industrielle|zona ind|z i|zi",
+    "via": "via v", "viale": "viale|v le|vle", "corso": "corso|c so|cso", "calle": "calle c cl", "polind": "|poligono industrial|pol ind|pol industrial|poligono ind|p i", "paseo": "paseo|p o", "rua": "rua r", "ul": "ulica ul", "al": "aleja al aleje", "largo": "largo", "zi": "|zona industrial|zone industrielle|zona ind|z i|zi",
 }
 _SUFFIX = (("strasse", "str"), ("str", "str straat"), ("weg", "weg"), ("wg", "weg"), ("gasse", "gasse"), ("straat", "straat"), ("laan", "laan"), ("ln", "laan"), ("kade", "kade"), ("plein", "plein"), ("platz", "platz"), ("allee", "allee"))
 _COUNTRIES = {
@@ -51,9 +52,14 @@ def _umlauts(t: str) -> str:
     return re.sub(r"([aou])e(?=[^aeiou]|$)", r"\1", t)
 
 
-_TYPE_BEHIND = [(_umlauts(w), k) for k, ws in _BEHIND.items() for w in (ws.split("|") if "|" in ws else ws.split())]
-_TYPE_BEFORE = [(_umlauts(w), k) for k, ws in _BEFORE.items() for w in (x for g in ws.split("|") for x in ([g] if "|" in ws and g.count(" ") else g.split()))]
-_COUNTRY_OF = {_umlauts(w): k for k, ws in _COUNTRIES.items() for g in ws.split("|") for w in ([g] if " " in g and "|" in ws and ws.index(g) and not ws.startswith(g) else g.split())}
+def _spellings(text: str) -> list[str]:
+    words, *phrases = text.split("|")
+    return [_umlauts(w) for w in (*words.split(), *phrases)]
+
+
+_TYPE_BEHIND = [(w, k) for k, ws in _BEHIND.items() for w in _spellings(ws)]
+_TYPE_BEFORE = [(w, k) for k, ws in _BEFORE.items() for w in _spellings(ws)]
+_COUNTRY_OF = {w: k for k, ws in _COUNTRIES.items() for w in _spellings(ws)}
 _BEHIND_RE = re.compile(r"(?=\b([a-z]{3,}(?: ?- ?[a-z]{3,})?) (%s)\b)" % "|".join(sorted({w for w, _ in _TYPE_BEHIND}, key=len, reverse=True)))
 _BEFORE_RE = re.compile(r"(?=\b(%s) (?:(?:de la|de|du|des|del|della|da|do|dos) )?([a-z]{4,})\b)" % "|".join(sorted({w for w, _ in _TYPE_BEFORE}, key=len, reverse=True)))
 _BEHIND_OF: dict[str, set[str]] = {}
