@@ -296,6 +296,9 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     lower = F.regexp_replace(F.lower(F.col("name")), r"( / \d+| [a-z]{2})$", "")
     short = alias.filter("alias is not null and canonical is not null").groupBy(F.lower(F.trim("alias")).alias("short")).agg(F.max(F.when(F.col("kind") == "name", F.col("canonical"))).alias("full"), F.max(F.when(F.col("kind") == "id", F.col("canonical"))).alias("number"))
     known_short = rec.select("name").filter("name is not null").distinct().withColumn("short", F.explode(F.array_distinct(F.array(F.lower("name"), lower, F.regexp_replace(lower, r" [a-z]{2}$", ""))))).join(short, "short").groupBy("name").agg(F.max("full").alias("full"), F.max("number").alias("number"))
+    # a number stands for its fullest name, so the organisation's other numbers are found too
+    fullest = vendors.select("customer_number", blank("name").alias("n")).filter("n is not null").groupBy(F.col("customer_number").alias("number")).agg(F.max_by("n", F.struct(F.length("n"), "n")).alias("fullest"))
+    known_short = known_short.join(fullest, "number", "left").select("name", F.coalesce("full", "fullest").alias("full"), "number")
     # read by many steps: written once, so that their plans stay short
     rec = cut(rec.join(known_short, "name", "left").withColumn("name", F.coalesce("full", "name")).drop("full"))
     ven = vendors.select("vendor_id", "customer_number", blank("name").alias("name"), "ship_to", blank("ship_to_name").alias("ship_name"), blank("city").alias("city"), blank("country").alias("country"))
