@@ -32,17 +32,18 @@ def tokens_meet(left: DataFrame, right: DataFrame, left_tokens: str, right_token
     return a.join(b, [*same, "_t"]).groupBy(left_key, right_key).agg(F.count("*").alias("shared"))
 
 
-def contained(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, order: str, longest: int = 6) -> DataFrame:
-    """Adds to each text the phrase of lowest order that it contains as whole words.
+def contained(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, order: str, key: str) -> DataFrame:
+    """key and, of the phrases that a text contains as whole words, the one of lowest order; one row per key.
 
-    Phrases are looked up by equality among the text's word n-grams; no text meets a phrase that it doesn't hold.
+    A phrase is a candidate where the text has its first word: an equality between distinct words. Only then is the
+    text searched for it, so no text is searched for phrases that can't be in it.
     """
-    words = F.split(F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " ")), " ")
-    runs = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - n, F.lit(0))), lambda i: F.array_join(F.slice("_w", i + 1, n), " ")))))
-    grams = texts.withColumn("_w", words).withColumn("_g", F.explode(runs))
-    keyed = phrases.select(F.trim(F.regexp_replace(F.lower(F.col(phrase)), r"[^\p{L}\p{N}]+", " ")).alias("_g"), F.struct(order, phrase).alias("_p"))
-    found = grams.join(keyed, "_g").groupBy(*texts.columns).agg(F.min("_p").alias("_p"))
-    return found.select(*texts.columns, F.col(f"_p.{phrase}").alias(phrase))
+    plain = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
+    words = texts.select(key, plain(F.col(text)).alias("_t")).select(key, "_t", F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
+    keyed = phrases.select(plain(F.col(phrase)).alias("_p"), F.struct(order, phrase).alias("_o")).filter("_p <> ''").withColumn("_w", F.substring_index("_p", " ", 1))
+    within = F.concat(F.lit(" "), F.col("_t"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("_p"), F.lit(" ")))
+    found = words.join(keyed, "_w").filter(within).groupBy(key).agg(F.min("_o").alias("_o"))
+    return found.select(key, F.col(f"_o.{phrase}").alias(phrase))
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_text: str, right_text: str, left_key: str, right_key: str, least: float = 0.65, block: int = 3) -> DataFrame:

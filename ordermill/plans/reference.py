@@ -273,7 +273,7 @@ _PHRASES = ("credit check", "please deliver", "melt flow", "call ahead", "gate 5
 @query("SELECT doc_id, p.phrase FROM documents, (VALUES " + ", ".join(f"({i}, '{p}')" for i, p in enumerate(_PHRASES)) + ") p(ord, phrase) WHERE contains(' ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ', ' ' || p.phrase || ' ') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p.ord) = 1")
 def alias_substring_join(spark, d):
     phrases = spark.createDataFrame([(i, p) for i, p in enumerate(_PHRASES)], "ord int, phrase string")
-    return matching.contained(table(spark, d, "documents").select("doc_id", "text"), phrases, "text", "phrase", "ord", longest=2).select("doc_id", "phrase")
+    return matching.contained(table(spark, d, "documents").select("doc_id", "text"), phrases, "text", "phrase", "ord", "doc_id")
 
 
 @query("SELECT r.region, count(*) AS n FROM po_headers h LEFT JOIN (SELECT region, unnest(sales_orgs) AS so FROM regional_config) r ON r.so = h.sales_organization GROUP BY 1")

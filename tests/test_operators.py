@@ -74,7 +74,7 @@ def test_first_match(spark):
 def test_contained_takes_lowest_phrase(spark):
     texts = spark.createDataFrame([(1, "Please call ahead, gate 5."), (2, "recall ahead"), (3, "")], "i int, t string")
     phrases = spark.createDataFrame([("gate 5", 1), ("call ahead", 0)], "p string, o int")
-    assert rows(matching.contained(texts, phrases, "t", "p", "o").select("i", "p")) == [(1, "call ahead")]
+    assert rows(matching.contained(texts, phrases, "t", "p", "o", "i")) == [(1, "call ahead")]
 
 
 def test_fuzzy_against_brute_force(spark):
