@@ -188,6 +188,12 @@ def _planes(bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(TABLES, bits, DIM)).astype("float32")
 
 
+def _sides(v: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """Signed distances of vectors to the planes of some tables: vectors x tables x bits."""
+    tables, bits, _ = planes.shape
+    return (v @ planes.reshape(tables * bits, DIM).T).reshape(len(v), tables, bits)
+
+
 def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -> DataFrame:
     """a, b, cosine: values of left and right (value, buckets) that share a bucket in one of the tables and whose
     cosine is CANDIDATE at least.
@@ -205,7 +211,7 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
                 v = _vectors(pdf["buckets"], *model.value)
                 q = np.clip(np.round(v * 300), -127, 127).astype("int8")
                 v = q.astype("float32") / (np.linalg.norm(q.astype("float32"), axis=1, keepdims=True) + 1e-9)
-                first = (np.einsum("nd,tbd->ntb", v, planes[:, :coarse]) > 0) @ (1 << np.arange(coarse)) if coarse else np.zeros((len(v), TABLES), int)
+                first = (_sides(v, planes[:, :coarse]) > 0) @ (1 << np.arange(coarse)) if coarse else np.zeros((len(v), TABLES), int)
                 salt = pdf["value"].map(lambda s: xxhash.xxh32_intdigest(s) % 2).to_numpy()
                 for t in range(TABLES):
                     for s in (0, 1) if side == "right" else (None,):
@@ -231,14 +237,14 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
 
         names, vy = y["value"].to_numpy(), unit(y["vector"])
         # codes in this table and the ones before it: a pair that meets there already isn't reported again
-        codes = (np.einsum("nd,tbd->ntb", vy, planes) > 0) @ power
+        codes = (_sides(vy, planes) > 0) @ power
         order = np.argsort(codes[:, -1], kind="stable")
         sorted_code = codes[order, -1]
         found = []
         for at in range(0, len(x), 2048):
             part = x["value"].to_numpy()[at : at + 2048]
             vx = unit(x["vector"].iloc[at : at + 2048])
-            far = np.einsum("nd,tbd->ntb", vx, planes)
+            far = _sides(vx, planes)
             own = (far > 0) @ power
             weak = np.argsort(np.abs(far[:, :, coarse:]), axis=2)[:, :, :FLIPS] + coarse
             asked = np.concatenate([own[:, :, None], own[:, :, None] ^ (1 << weak)], axis=2)
