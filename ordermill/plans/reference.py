@@ -6,6 +6,7 @@ Every query reads its whole tables. QUERIES holds (query, SQL) by name; SQL is N
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -444,8 +445,7 @@ def windowed_events(spark, d):
 def _streamed(spark, d, name: str):
     """Folders for a stream's table, registry and checkpoint: in the shared checkpoint folder where there is one."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.removeprefix("file://") if shared else None
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{shared or 'file://' + tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events) WHERE r = 1")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.text import squeezed
+from ordermill.sources import files
 
 
 def json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType | str, strict: bool = True) -> DataFrame:
@@ -38,19 +39,19 @@ def parquet_cached(spark: SparkSession, source: str, copy: str, hours: float = 2
 
     A fresh read is written to copy beside the old one and takes its place when complete.
     """
-    marker = os.path.join(copy, "_SUCCESS")
-    if os.path.exists(marker) and time.time() - os.path.getmtime(marker) < hours * 3600:
+    marker = f"{copy}/_SUCCESS"
+    if files.age_seconds(spark, marker) < hours * 3600:
         return spark.read.parquet(copy)
+    fresh = f"{copy}.{time.time_ns()}"
     try:
-        fresh = f"{copy}.{int(time.time())}"
         spark.read.parquet(source).write.parquet(fresh)
     except Exception:
-        if os.path.exists(marker):
+        if files.exists(spark, marker):
             return spark.read.parquet(copy)
         raise
-    if os.path.exists(copy):
-        os.rename(copy, f"{copy}.old.{int(time.time())}")
-    os.rename(fresh, copy)
+    if files.exists(spark, copy):
+        files.rename(spark, copy, f"{copy}.old.{time.time_ns()}")
+    files.rename(spark, fresh, copy)
     return spark.read.parquet(copy)
 
 

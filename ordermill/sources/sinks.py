@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,22 +9,21 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.text import row_key
 from ordermill.operators.keyed import merged
+from ordermill.sources import files
 
 
 def _replace(df: DataFrame, path: str, keep: bool = False) -> str | None:
     """Writes df beside path and swaps names; returns where the old table went, if it is kept."""
-    stamp = f"{time.time_ns()}"
+    spark, stamp = df.sparkSession, time.time_ns()
     fresh, old = f"{path}.new.{stamp}", f"{path}.bak.{stamp}"
     df.write.parquet(fresh)
-    if os.path.exists(path):
-        os.rename(path, old)
-    os.rename(fresh, path)
-    if os.path.exists(old) and not keep:
-        import shutil
-
-        shutil.rmtree(old)
-        return None
-    return old if os.path.exists(old) else None
+    had = files.exists(spark, path)
+    if had:
+        files.rename(spark, path, old)
+    files.rename(spark, fresh, path)
+    if had and not keep:
+        files.remove(spark, old)
+    return old if had and keep else None
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -37,7 +35,7 @@ def append_aligned(df: DataFrame, path: str, keys: list[str]) -> str | None:
     """Appends; where columns differ, both sides are aligned by name (text), the last row of each key is kept, and the
     table is replaced. Returns where the former table is kept in that case."""
     spark = df.sparkSession
-    if not os.path.exists(path):
+    if not files.exists(spark, path):
         df.write.parquet(path)
         return None
     old = spark.read.parquet(path)
@@ -52,7 +50,7 @@ def append_aligned(df: DataFrame, path: str, keys: list[str]) -> str | None:
 
 
 def backup(df: DataFrame, folder: str, label: str) -> str:
-    path = os.path.join(folder, f"{label}_{time.strftime('%Y%m%d_%H%M%S', time.gmtime())}_{time.time_ns() % 1000000}")
+    path = f"{folder}/{label}_{time.strftime('%Y%m%d_%H%M%S', time.gmtime())}_{time.time_ns() % 1000000}"
     df.write.parquet(path)
     return path
 
@@ -60,14 +58,14 @@ def backup(df: DataFrame, folder: str, label: str) -> str:
 def register(df: DataFrame, path: str, keys: list[str]) -> None:
     """Adds the keys of df to the registry; known ones stay as they are."""
     fresh = df.select(row_key(*[F.col(k) for k in keys]).alias("row_key")).distinct()
-    if os.path.exists(path):
+    if files.exists(df.sparkSession, path):
         fresh = fresh.join(df.sparkSession.read.parquet(path).select("row_key"), "row_key", "left_anti")
     fresh.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def upsert(updates: DataFrame, path: str, key: str) -> None:
     """Inserts or merges by key; unset fields of an update keep the old value."""
-    if not os.path.exists(path):
+    if not files.exists(updates.sparkSession, path):
         updates.write.parquet(path)
         return
     _replace(merged(updates.sparkSession.read.parquet(path), updates, key), path)

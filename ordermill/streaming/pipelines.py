@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.operators.keyed import keep_first
-from ordermill.sources import sinks
+from ordermill.sources import files, sinks
 
 
 def arriving(spark: SparkSession, folder: str, schema: T.StructType, per_batch: int = 100, form: str = "parquet") -> DataFrame:
@@ -39,12 +37,12 @@ def into_registry(stream: DataFrame, keys: list[str], order: list[str], table: s
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         first = keep_first(batch, keys, order)
-        if os.path.exists(registry):
+        if files.exists(spark, registry):
             known = spark.read.parquet(registry).filter(F.col("batch") != number).select(*keys)
             first = first.join(known, keys, "left_anti")
         first = first.persist()
-        first.write.mode("overwrite").parquet(os.path.join(table, f"batch={number}"))
-        first.select(*keys).write.mode("overwrite").parquet(os.path.join(registry, f"batch={number}"))
+        first.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        first.select(*keys).write.mode("overwrite").parquet(f"{registry}/batch={number}")
         first.unpersist()
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
