@@ -68,13 +68,14 @@ def tokenised(values: DataFrame) -> DataFrame:
 def random_walks(records: DataFrame, tokens: DataFrame, seed: int = 5) -> DataFrame:
     """Sequences of buckets from walks value -> token -> value ..., and through records to their other values.
 
-    records: r, field, value. Every value and every record starts WALKS walks, each of STEPS steps.
+    records: r, field, value. Every value starts WALKS walks of STEPS steps; every record gives one sequence of tokens of
+    its values.
     """
     pick = lambda a, salt: F.element_at(a, (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), "walk"), F.size(a)) + 1).cast("int"))
     value = tokens.select(F.xxhash64("field", "value").alias("v"), "buckets")
     edges = value.select("v", F.explode("buckets").alias("b"))
     # a sample of each token's values: the smallest hashes, kept within partitions first
-    near = edges.withColumn("h", F.xxhash64(F.lit(seed), "v", "b")).groupBy("b", F.pmod("h", F.lit(NEIGHBOURS)).alias("slot")).agg(F.min_by("v", "h").alias("v")).groupBy("b").agg(F.collect_list("v").alias("vs"))
+    near = edges.withColumn("h", F.xxhash64(F.lit(seed), "v", "b")).groupBy("b", F.pmod("h", F.lit(NEIGHBOURS)).alias("slot")).agg(F.min_by("v", "h").alias("v")).groupBy("b").agg(F.array_sort(F.collect_list("v")).alias("vs"))
     start = value.withColumn("walk", F.explode(F.array(*[F.lit(i) for i in range(WALKS)]))).select(F.xxhash64("v", "walk").alias("walk"), "buckets")
     walk = start.select("walk", pick(F.col("buckets"), "a").alias("b"), F.array(pick(F.col("buckets"), "x"), pick(F.col("buckets"), "a")).alias("path"))
     for step in range(STEPS):
@@ -83,7 +84,7 @@ def random_walks(records: DataFrame, tokens: DataFrame, seed: int = 5) -> DataFr
         walk = walk.select("walk", nxt.alias("b"), F.concat("path", F.array(pick(F.col("buckets"), f"m{step}"), nxt)).alias("path"))
     # records: one token of each of their values, so that what occurs together comes together
     held = records.join(tokens, ["field", "value"]).select("r", "field", "buckets")
-    for_record = held.withColumn("walk", F.xxhash64("r", "field")).select("r", F.array(pick(F.col("buckets"), "r1"), pick(F.col("buckets"), "r2")).alias("p")).groupBy("r").agg(F.flatten(F.collect_list("p")).alias("path"))
+    for_record = held.withColumn("walk", F.xxhash64("r", "field")).select("r", "field", F.array(pick(F.col("buckets"), "r1"), pick(F.col("buckets"), "r2")).alias("p")).groupBy("r").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("field", "p"))), lambda x: x["p"])).alias("path"))
     return walk.select("path").unionByName(for_record.select("path"))
 
 
