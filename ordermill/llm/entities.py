@@ -31,6 +31,8 @@ TABLES, LOAD = 16, 24
 FLIPS = 4
 #: Least cosine of a candidate.
 CANDIDATE = 0.38
+#: Numbers of a product that are held at once.
+PIECE = 2_000_000
 #: Values that a token keeps as neighbours for walks (the search doesn't use them).
 NEIGHBOURS = 16
 WALKS, STEPS, WINDOW, NEGATIVE, RATE = 2, 3, 4, 4, 0.03
@@ -249,21 +251,28 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
             own = (far > 0) @ power
             weak = np.argsort(np.abs(far[:, :, coarse:]), axis=2)[:, :, :FLIPS] + coarse
             asked = np.concatenate([own[:, :, None], own[:, :, None] ^ (1 << weak)], axis=2)
-            now = asked[:, -1]
-            lo, hi = np.searchsorted(sorted_code, now, "left"), np.searchsorted(sorted_code, now, "right")
-            n = hi - lo
-            i = np.repeat(np.arange(len(part)), n.sum(1))
-            starts = np.repeat(lo.ravel(), n.ravel())
-            inside = np.arange(len(starts)) - np.repeat(np.cumsum(n.ravel()) - n.ravel(), n.ravel())
-            j = order[starts + inside]
-            for s in range(0, len(i), 40_000):
-                ii, jj = i[s : s + 40_000], j[s : s + 40_000]
-                cos = np.einsum("nd,nd->n", vx[ii], vy[jj])
-                k = cos >= CANDIDATE
-                ii, jj, cos = ii[k], jj[k], cos[k]
-                before = (asked[ii, :-1] == codes[jj, :-1, None]).any((1, 2))
-                found.append(pd.DataFrame({"a": part[ii[~before]], "b": names[jj[~before]], "cosine": cos[~before]}))
-        return pd.concat(found, ignore_index=True) if found else none
+            now = asked[:, -1].ravel()
+            rows = np.argsort(now, kind="stable")
+            wanted, first = np.unique(now[rows], return_index=True)
+            lo, hi = np.searchsorted(sorted_code, wanted, "left"), np.searchsorted(sorted_code, wanted, "right")
+            # one product of matrices per code, in pieces that stay small
+            for c, begin, end in zip(range(len(wanted)), first, [*first[1:], len(rows)]):
+                index = order[lo[c] : hi[c]]
+                if not len(index):
+                    continue
+                step = max(1, PIECE // len(index))
+                for r in range(begin, end, step):
+                    own_rows = rows[r : min(r + step, end)] // asked.shape[2]
+                    cos = vx[own_rows] @ vy[index].T
+                    i, j = np.nonzero(cos >= CANDIDATE)
+                    if not len(i):
+                        continue
+                    ii, jj = own_rows[i], index[j]
+                    before = (asked[ii, :-1] == codes[jj, :-1, None]).any((1, 2))
+                    found.append((part[ii[~before]], names[jj[~before]], cos[i, j][~before]))
+        if not found:
+            return none
+        return pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found]), "cosine": np.concatenate([f[2] for f in found])})
 
     met = a.groupBy("key").cogroup(b.groupBy("key")).applyInPandas(meet, "a string, b string, cosine float")
     return met
