@@ -4,7 +4,8 @@ Attribute values (typed names, ship-to names, cities, countries) and their token
 graph with the records that hold them. Random walks over it give token sequences, skip-gram training turns those into
 token vectors, and a value's vector is the weighted sum of its tokens'. Values are blocked by hyperplane hashing in
 several tables, candidates are reranked by the exact cosine, an exact check of names and places decides, and the
-cosine of the whole records, calibrated on decided pairs, is the confidence.
+cosine of the whole records, calibrated on decided pairs, is the confidence. Hashing loses more pairs the larger the
+index is; names that share enough rare trigrams are candidates besides, at any size.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.addresses import _COUNTRY_OF, parse_address, town_form
 from ordermill.llm.addresses import folded as folded_place
-from ordermill.llm.names import MARGIN, NAME, TOKEN, _contradict, _edits, agree, grams, parse_name, token_similarity
+from ordermill.llm.names import MARGIN, NAME, TOKEN, _contradict, _edits, agree, gram_candidates, grams, parse_name, parsed_names, token_similarity, with_grams
 from ordermill.session import cut
 
 #: Rows of the vector table (tokens are hashed to them) and their length: the model's size, whatever the data's.
@@ -278,6 +279,37 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
     return met
 
 
+def shared_grams(left: DataFrame, owners: DataFrame, common: dict[str, float]) -> DataFrame:
+    """a, b: values of left and names of owners that share many of the trigrams that few customers have.
+
+    Both ways: a typed name may go on with words for the place, a master name may be typed short.
+    """
+    words = left.sparkSession.createDataFrame([(t,) for t in common], "token string")
+    typed = cut(with_grams(parsed_names(left.select(F.col("value").alias("name"))), words))
+    known = cut(with_grams(parsed_names(owners.select(F.col("b").alias("name"))), words))
+    there = gram_candidates(typed, known).select(F.col("name").alias("a"), F.col("m").alias("b"))
+    back = gram_candidates(known, typed).select(F.col("m").alias("a"), F.col("name").alias("b"))
+    return there.unionByName(back).distinct()
+
+
+def with_cosine(pairs: DataFrame, left: DataFrame, right: DataFrame, model) -> DataFrame:
+    """a, b, cosine: the pairs whose exact cosine is CANDIDATE at least, from the buckets of left and right (value, buckets)."""
+
+    def side(names: pd.Series, buckets: pd.Series) -> np.ndarray:
+        at = pd.factorize(names)[0]
+        first = np.unique(at, return_index=True)[1]
+        return _vectors(buckets.iloc[first], *model.value)[at]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                cos = (side(pdf["a"], pdf["x"]) * side(pdf["b"], pdf["y"])).sum(1)
+                yield pdf[["a", "b"]].assign(cosine=cos.astype("float32"))[cos >= CANDIDATE]
+
+    both = pairs.join(left.select(F.col("value").alias("a"), F.col("buckets").alias("x")), "a").join(right.select(F.col("value").alias("b"), F.col("buckets").alias("y")), "b")
+    return both.mapInPandas(run, "a string, b string, cosine float")
+
+
 def _weights(tokens: DataFrame) -> tuple[np.ndarray, int]:
     """Weight of each row: the rarer among the master's values, the more."""
     n = tokens.count()
@@ -342,6 +374,7 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     shared_words = _common_words(owners)
     shared = spark.sparkContext.broadcast(shared_words)
     by_name = candidates.join(owners.select("b").distinct(), "b", "left_semi")
+    by_grams = with_cosine(shared_grams(left, owners, shared_words[0]), left, right, model)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weight, rare = shared.value
@@ -359,7 +392,10 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
             out = pdf.assign(score=s, loose=loose)
             yield out[out["score"] >= NAME]
 
-    verified = cut(by_name.mapInPandas(verify, "a string, b string, cosine float, score double, loose boolean"))
+    checked = "a string, b string, cosine float, score double, loose boolean"
+    hashed = cut(by_name.mapInPandas(verify, checked))
+    more = by_grams.join(hashed.select("a", "b"), ["a", "b"], "left_anti").mapInPandas(verify, checked)
+    verified = cut(hashed.unionByName(more))
     lists = verified.groupBy("a", "loose").agg(F.collect_list(F.struct("score", "b", "cosine")).alias("c"))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -260,6 +260,23 @@ def _gram_pairs(grams):
     return F.flatten(F.transform(g, lambda x, i: F.transform(F.slice(g, i + 2, F.size(g)), lambda y: F.concat(x, F.lit("|"), y))))
 
 
+def gram_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """name, m: names of left and of right (name, grams) of which the second holds OVERLAP of the first one's grams."""
+    index = right.select(F.col("name").alias("m"), F.explode("grams").alias("g"))
+    df = index.groupBy("g").agg(F.count("*").alias("n"))
+    # rarest grams first; a gram that no master name holds is free
+    ordered = left.select("name", F.size("grams").alias("k"), F.explode("grams").alias("g")).join(df, "g", "left").groupBy("name", "k").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g"))).alias("gs"))
+    # with the prefix longer by one gram a partner of enough overlap shares two of it, so pairs of grams are looked up:
+    # few names hold both, and lists stay short however many names there are
+    share = F.ceil(F.col("k") * OVERLAP).cast("int")
+    least = F.least(share, F.lit(2))
+    prefix = F.transform(F.slice("gs", F.lit(1), F.col("k") - share + least), lambda x: x["g"])
+    lookup = ordered.select(F.xxhash64("name").alias("i"), F.explode(F.when(least == 1, prefix).otherwise(_gram_pairs(prefix))).alias("g")).select("i", F.xxhash64("g").alias("g"))
+    coded = right.select(F.xxhash64("name").alias("j"), F.explode(F.array_union("grams", _gram_pairs(F.col("grams")))).alias("g")).select("j", F.xxhash64("g").alias("g"))
+    pairs = lookup.join(coded, "g").select("i", "j").distinct()
+    return pairs.join(left.select("name", F.xxhash64("name").alias("i")), "i").join(right.select(F.col("name").alias("m"), F.xxhash64("name").alias("j")), "j").select("name", "m")
+
+
 def link_names(names: DataFrame, master: DataFrame) -> DataFrame:
     """name, customer_number, confidence for the names (column name) that are spellings of master's organisations.
 
@@ -282,19 +299,7 @@ def link_names(names: DataFrame, master: DataFrame) -> DataFrame:
 
     left = cut(with_grams(parsed_names(names), common.select("token")))
     right = cut(with_grams(known, common.select("token")))
-    index = right.select(F.col("name").alias("m"), F.explode("grams").alias("g"))
-    df = index.groupBy("g").agg(F.count("*").alias("n"))
-    # rarest grams first; a gram that no master name holds is free
-    ordered = left.select("name", F.size("grams").alias("k"), F.explode("grams").alias("g")).join(df, "g", "left").groupBy("name", "k").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g"))).alias("gs"))
-    # with the prefix longer by one gram a partner of enough overlap shares two of it, so pairs of grams are looked up:
-    # few names hold both, and lists stay short however many names there are
-    share = F.ceil(F.col("k") * OVERLAP).cast("int")
-    least = F.least(share, F.lit(2))
-    prefix = F.transform(F.slice("gs", F.lit(1), F.col("k") - share + least), lambda x: x["g"])
-    lookup = ordered.select(F.xxhash64("name").alias("i"), F.explode(F.when(least == 1, prefix).otherwise(_gram_pairs(prefix))).alias("g")).select("i", F.xxhash64("g").alias("g"))
-    coded = right.select(F.xxhash64("name").alias("j"), F.explode(F.array_union("grams", _gram_pairs(F.col("grams")))).alias("g")).select("j", F.xxhash64("g").alias("g"))
-    pairs = lookup.join(coded, "g").select("i", "j").distinct()
-    pairs = pairs.join(left.select("name", F.xxhash64("name").alias("i")), "i").join(right.select(F.col("name").alias("m"), F.xxhash64("name").alias("j")), "j").select("name", "m")
+    pairs = gram_candidates(left, right)
     both = pairs.join(left.select("name", F.col("tokens").alias("a"), F.col("form").alias("fa")), "name").join(right.select(F.col("name").alias("m"), F.col("tokens").alias("b"), F.col("form").alias("fb")), "m")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -51,3 +51,13 @@ def test_blocking_against_brute_force(spark):
     i, j = np.where(cos >= 0.45)
     want = {(l["value"][x], r["value"][y]) for x, y in zip(i, j)}
     assert len(want) > 300 and len(want & found) >= 0.9 * len(want)
+
+
+def test_spellings_are_found_at_the_code_length_of_a_large_index(spark, monkeypatch):
+    """With codes as long as those of a master of 1.6 billion names, hashing finds hardly more than equal values."""
+    monkeypatch.setattr(E, "LOAD", 2.0**-20)
+    h, v, a = frames(spark)
+    got = E.match_entities(h, v, a).collect()
+    for r in HEADERS:
+        assert {x["vendor_id"] for x in got if x["record_id"] == r[0]} == r[-1], r
+    assert all(0 < x["confidence"] <= 1 for x in got)
