@@ -28,6 +28,9 @@ WIDE_WRITTEN_IN = ("euc-kr", "gb18030", "shift_jis", "euc-jp", "big5")
 WIDE_READ_AS = ("gb18030", "cp932", "cp949", "big5")
 #: A trigram must be seen this often to be a right form, and this many times as often as its garbled form.
 SEEN, RATIO = 10, 15
+#: A text, or line, is garbled throughout if under one pair of encodings so many of its distinct trigrams, and this
+#: share of those that change, turn into forms seen MORE times as often; forms no more frequent count against.
+TURNED, SHARE, MORE = 5, 0.9, 2
 
 #: Signs whose garbled form tells even without letters around it.
 _SIGNS = "€–’“”„«»½±°§µ"
@@ -203,6 +206,7 @@ class Matcher:
             machine.add_word(g, ("weak" if doubtful else kind, g, (c, bits)))
         machine.make_automaton()
         self.machine = machine
+        self.turns: dict[str, dict[str, bool]] = {}
 
     def once(self, text: str) -> tuple[str, bool, bool]:
         """The text with its garbled spans replaced once, whether there were any, and whether more may lie beneath."""
@@ -236,7 +240,7 @@ class Matcher:
         spans += self._embedded(text) + self._misread(text)
         beneath = bool(spans)
         if not spans:
-            spans = self._single(text, grams) or self._mixed(text)
+            spans = self._single(text, grams) or self._throughout(text) or self._mixed(text)
         out, at = [], 0
         for a, b, right in sorted(spans, key=lambda x: (x[0], -x[1])):
             if a >= at:
@@ -321,6 +325,58 @@ class Matcher:
                     found.append((i, i + 1, table[back[text[i]]]))
         return found
 
+    def _turned(self, t: str) -> dict[str, bool]:
+        """Pair -> whether its reading of a trigram is seen MORE times as often; pairs that leave it, or of which
+        neither form is known, are left out."""
+        found = self.turns.get(t)
+        if found is None:
+            found, n = {}, self.seen.get(t, 0)
+            for wrong in READ_AS:
+                back = _encoded(wrong)
+                codes = [ord(c) if ord(c) < 128 else back.get(c) for c in t]
+                for source in WRITTEN_IN:
+                    if source == wrong:
+                        continue
+                    pair, table = f"{source}>{wrong}", _decoded(source)
+                    if None in codes:
+                        found[pair] = False  # a text read as that encoding has no such character
+                        continue
+                    right = "".join(table[b] if b >= 128 else chr(b) for b in codes)
+                    m = self.seen.get(right, 0)
+                    if right[1] != t[1] and m + n > 0:
+                        found[pair] = m >= 3 and m >= MORE * n
+            if len(self.turns) > 100_000:
+                self.turns.clear()
+            self.turns[t] = found
+        return found
+
+    def pair_throughout(self, text: str) -> str | None:
+        """The pair of single-byte encodings of a text that is garbled from end to end, however frequent its garbled forms are."""
+        c: Counter = Counter()
+        count_trigrams(text, c)
+        if len(c) < TURNED:
+            return None
+        better: Counter = Counter()
+        worse: Counter = Counter()
+        for t in c:
+            for pair, turned in self._turned(t).items():
+                (better if turned else worse)[pair] += 1
+        best = max(better, key=lambda p: (better[p] - worse[p], p), default=None)
+        return best if best and better[best] >= TURNED and better[best] >= SHARE * (better[best] + worse[best]) else None
+
+    def _throughout(self, text: str) -> list[tuple[int, int, str]]:
+        """The whole text's characters under its pair; else those of the lines that have one."""
+        parts = [(0, text)]
+        if self.pair_throughout(text) is None:
+            parts = [(m.start(), m.group()) for m in re.finditer(r"[^\n]+", text)] if "\n" in text else []
+        found = []
+        for at, part in parts:
+            if not part.isascii() and (pair := self.pair_throughout(part)):
+                source, wrong = pair.split(">")
+                table, back = _decoded(source), _encoded(wrong)
+                found += [(at + i, at + i + 1, table[back[c]]) for i, c in enumerate(part) if ord(c) >= 128 and c in back]
+        return found
+
     def _mixed(self, text: str) -> list[tuple[int, int, str]]:
         """'Wistδlax': the reading as Latin letters whose trigrams are seen most."""
         found = []
@@ -350,7 +406,8 @@ _MATCHERS: dict[str, Matcher] = {}
 
 
 def corpus_trigrams(documents: DataFrame, text: str = "text") -> DataFrame:
-    """trigram, n over all documents: only non-ASCII texts, counted within each batch first. The alphabets bound it."""
+    """trigram, n over all distinct texts, so copies don't count: only non-ASCII ones, counted within each batch first.
+    The alphabets bound it."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c: Counter = Counter()
@@ -359,7 +416,7 @@ def corpus_trigrams(documents: DataFrame, text: str = "text") -> DataFrame:
                 count_trigrams(t, c)
         yield pd.DataFrame({"trigram": list(c.keys()), "n": list(c.values())}, columns=["trigram", "n"]).astype({"trigram": "object", "n": "int64"})
 
-    plain = documents.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(F.col(text).alias("t"))
+    plain = documents.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(F.col(text).alias("t")).distinct()
     return plain.mapInPandas(count, "trigram string, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
 
 

@@ -77,3 +77,15 @@ def test_operator(spark):
     got = sorted((r["doc_id"], r["restored"]) for r in repair_encoding(df).collect())
     assert got == [(1000, True), (1003, False), (1003, False)]
     assert repair_encoding(df.limit(0)).count() == 0
+
+
+def test_frequent_garbling_is_found(spark):
+    """Copies of one garbled text, and a quarter of all texts garbled alike, hide nothing."""
+    rng = random.Random(3)
+    for lang, source, wrong in (("ru", "koi8-r", "cp1251"), ("de", "cp1252", "mac-roman")):
+        words = TEXTS[lang].split()
+        texts = [" ".join(rng.sample(words, len(words))) for _ in range(120)]
+        bad = [t.encode(source, "replace").decode(wrong, "replace") for t in texts[:30]]
+        rows = list(enumerate(texts[30:])) + [(1000 + i, b) for i, b in enumerate(bad)] + [(2000 + i, bad[0]) for i in range(300)]
+        got = {r["doc_id"] for r in repair_encoding(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {i for i, _ in rows if i >= 1000}, lang
