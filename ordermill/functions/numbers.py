@@ -11,14 +11,19 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)$"), text.try_cast("double"))
 
 
+def _folded(c: Column) -> Column:
+    """Full-width digits as ASCII ones, any blank as a plain one."""
+    return F.regexp_replace(F.translate(c, "０１２３４５６７８９", "0123456789"), r"[\s\p{Z}]", " ")
+
+
 def plain_number(c: Column) -> Column:
     """Commas group, the point is decimal: '1,000' is 1000, 'abc' is NULL."""
-    return _number(F.translate(F.trim(c), ",", ""))
+    return _number(F.translate(F.trim(_folded(c)), ",", ""))
 
 
 def comma_decimal(c: Column) -> Column:
     """Of both separators the last is the decimal one; a comma alone is decimal: '24,000' is 24, '1.000,00' is 1000."""
-    t = F.regexp_replace(c, r"[^\d.,-]", "")
+    t = F.regexp_replace(_folded(c), r"[^\d.,-]", "")
     comma, point = F.instr(F.reverse(t), ","), F.instr(F.reverse(t), ".")
     both = (comma > 0) & (point > 0)
     return F.when(both & (comma < point), _number(F.translate(F.translate(t, ".", ""), ",", "."))).when(both | (comma == 0), _number(F.translate(t, ",", ""))).otherwise(_number(F.translate(t, ",", ".")))
@@ -26,7 +31,7 @@ def comma_decimal(c: Column) -> Column:
 
 def grouped_number(c: Column) -> Column:
     """Groups of three digits are thousands whatever separates them: '24,000' and '1.500' are 24000 and 1500."""
-    t = F.regexp_extract(c, r"[\d.,]+", 0)
+    t = F.regexp_extract(_folded(c), r"[\d.,]+", 0)
     return (
         F.when(t.rlike(r"^\d{1,3}(\.\d{3})+(,\d+)?$"), _number(F.translate(F.translate(t, ".", ""), ",", ".")))
         .when(t.rlike(r"^\d{1,3}(,\d{3})+(\.\d+)?$"), _number(F.translate(t, ",", "")))

@@ -1,6 +1,8 @@
 """Queries of the general operators, over the order-intake and the star-schema tables, and their SQL.
 
-Every query reads its whole tables. QUERIES holds (query, SQL) by name; SQL is None where SQL can't express it.
+Queries read whole tables; number_parsers and postcode_extract here and markers_to_null in reference_more leave out
+rows with characters beyond ASCII, as their SQL does, and unit_conversion reads plain digits only. The queries of the
+same names with _all leave nothing out and have no SQL. QUERIES holds (query, SQL) by name; SQL is None where SQL can't express it.
 """
 
 from __future__ import annotations
@@ -306,6 +308,13 @@ def number_parsers(spark, d):
     return q.select("quantity", numbers.plain_number(c).alias("plain"), numbers.comma_decimal(c).alias("comma"), numbers.grouped_number(c).alias("grouped"))
 
 
+@query()
+def number_parsers_all(spark, d):
+    q = table(spark, d, "po_line_items").filter("quantity is not null").select("quantity").distinct()
+    c = F.col("quantity")
+    return q.select("quantity", numbers.plain_number(c).alias("plain"), numbers.comma_decimal(c).alias("comma"), numbers.grouped_number(c).alias("grouped"))
+
+
 @query("SELECT p.line_id, u.code, p.amount * u.factor AS converted FROM (SELECT line_id, upper(trim(unit)) AS raw, try_cast(quantity AS DOUBLE) AS amount FROM po_line_items WHERE regexp_full_match(quantity, '[0-9]+')) p JOIN unit_map u ON u.raw = p.raw AND NOT u.us_only")
 def unit_conversion(spark, d):
     u = table(spark, d, "unit_map").filter("not us_only")
@@ -337,6 +346,11 @@ def postcode_extract(spark, d):
     return table(spark, d, "po_headers").filter(F.col("ship_to_address").rlike("^[ -~]+$")).select("record_id", text.postcode(F.col("ship_to_address")).alias("postcode"))
 
 
+@query()
+def postcode_extract_all(spark, d):
+    return table(spark, d, "po_headers").filter("ship_to_address is not null").select("record_id", text.postcode(F.col("ship_to_address")).alias("postcode"))
+
+
 @query("SELECT message_no, trim(regexp_replace(regexp_replace(body.content, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS content FROM mailbox_message WHERE body.contentType = 'html' AND body.content IS NOT NULL")
 def html_strip(spark, d):
     return table(spark, d, "mailbox_message").filter("body.contentType = 'html' and body.content is not null").select("message_no", text.without_tags(F.col("body.content")).alias("content"))

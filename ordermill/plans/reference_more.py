@@ -59,6 +59,13 @@ def markers_to_null(spark, d):
     return lines.select("line_id", *[text.null_if_word(F.col(c)).alias(c) for c in _MARKED])
 
 
+@query()
+def markers_to_null_all(spark, d):
+    # any blank at the ends, no-break and full-width ones too
+    bare = lambda c: F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return table(spark, d, "po_line_items").select("line_id", *[text.null_if_word(bare(F.col(c))).alias(c) for c in _MARKED])
+
+
 @query("WITH n AS (SELECT DISTINCT customer_number FROM vendors), r AS (SELECT record_id, regexp_replace(customer_id_or_name, '[^0-9]', '', 'g') AS digits FROM po_headers WHERE regexp_full_match(customer_id_or_name, '[A-Z]?-?[0-9]{4,}')) SELECT r.record_id, min(n.customer_number) AS customer_number FROM r JOIN n ON suffix(n.customer_number, r.digits) GROUP BY 1")
 def suffix_id_join(spark, d):
     # suffixes of the lengths that occur are keys, so the join is on equality
