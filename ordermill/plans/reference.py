@@ -222,6 +222,7 @@ SELECT line_id, entry, tier FROM (SELECT *, row_number() OVER (PARTITION BY line
 
 @query(_CASCADE)
 def first_match_cascade(spark, d):
+    """The tiers that are equalities of the key; prefix, substring, ratio and description tiers aren't written."""
     m = table(spark, d, "materials").filter("length(trim(customer_material_number)) > 2").groupBy(F.col("customer_material_number").alias("entry"), "material_description").agg(F.min("_ord").alias("_ord")).withColumn("_key", text.ascii_key(F.col("entry")))
     items = table(spark, d, "po_line_items").filter("length(trim(material_code)) > 2").select("line_id", F.trim("material_code").alias("code")).withColumn("_key", text.ascii_key(F.col("code")))
     tiers = [F.col("code") == F.col("entry"), F.lower("code") == F.lower("entry"), F.lit(True)]
