@@ -68,7 +68,9 @@ for _w, _k in _TYPE_BEHIND:
 _BEFORE_OF: dict[str, set[str]] = {}
 for _w, _k in _TYPE_BEFORE:
     _BEFORE_OF.setdefault(_w, set()).add(_k)
-_NUMBER = r"(?:no|nr|num|n|numero|haus)? ?#? ?(\d{1,4}) ?([a-z])?\b(?!-?\d)"
+_NUMBER = r"(?:no|nr|num|n|numero|haus)? ?#? ?(\d{1,6}) ?([a-z])?\b(?!-?\d)"
+#: Digits of a house number that is told from a postcode by nothing else.
+SHORT = 3
 
 
 def folded(text: str) -> str:
@@ -101,14 +103,19 @@ def postcode_form(code: str) -> str:
 
 
 class Parsed:
-    __slots__ = ("streets", "postcodes", "towns", "country")
+    __slots__ = ("streets", "postcodes", "towns", "country", "short")
 
-    def __init__(self, streets: list[tuple[str, str, str]], postcodes: list[str], towns: list[str], country: str) -> None:
-        self.streets, self.postcodes, self.towns, self.country = streets, postcodes, towns, country
+    def __init__(self, streets: list[tuple[str, str, str]], postcodes: list[str], towns: list[str], country: str, short: list[str]) -> None:
+        self.streets, self.postcodes, self.towns, self.country, self.short = streets, postcodes, towns, country, short
 
 
 def parse_address(text: str | None, postcode: str | None = None, city: str | None = None, country: str | None = None) -> Parsed | None:
-    """Readings of an address: (name, type, number) of each possible street, postcodes, town forms, country."""
+    """Readings of an address: (name, type, number) of each possible street, postcodes, town forms, country.
+
+    A number of more than SHORT digits is read as the house number only if the street has no shorter one and no mark
+    parts them; it is read as a postcode besides. Words of two or three letters are kept apart (short): they are a town
+    only where the other address names it in its own field.
+    """
     if not text:
         return None
     t = folded(text)
@@ -136,19 +143,19 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
 
     def numbered(a: int, b: int, name: str, kinds: set[str]) -> None:
         before, after = flat[:a], flat[b:]
-        m = re.match(r"^ ?,? ?" + _NUMBER, after)
+        m = re.match(r"^ ?(,)? ?" + _NUMBER, after)
         hits = []
-        if m and not re.match(r"^ ?,? ?\d{4,}", after):
-            hits.append((m, b, b + m.end()))
+        if m and not (m.group(1) and len(m.group(2)) > SHORT) and postcode_form(postcode or "") != m.group(2):
+            hits.append((re.match(r"^ ?,? ?" + _NUMBER, after), b, b + m.end()))
         m2 = re.search(r"(?:^|[ ,])" + _NUMBER + r" ?,? ?$", before)
         if m2:
             hits.append((m2, m2.start(), a))
-        short = [h for h in hits if len(h[0].group(1)) <= 3]
-        for m, x, y in short or hits:
+        few = [h for h in hits if len(h[0].group(1)) <= SHORT]
+        for m, x, y in few or hits:
             if int(m.group(1)):
                 for k in sorted(kinds):
                     streets.setdefault((_strokes(name), k, str(int(m.group(1))) + (m.group(2) or "")))
-                used.append((min(a, x), max(b, y)))
+                used.append((min(a, x), max(b, y)) if few or len(m.group(1)) == 4 and x < a else (a, b))
 
     for m in re.finditer(r"[a-z]+(?: ?- ?[a-z]+)?", flat):
         w = re.sub(r"[ -]", "", m.group())
@@ -181,10 +188,8 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
     for m in re.finditer(r"\b(\d{1,4}) (\d{1,4})\b", left):
         if 4 <= len(m.group(1) + m.group(2)) <= 6:
             codes.append(m.group(1) + m.group(2))
-    towns = [town_form(city)] if city and town_form(city) else []
-    if not towns or len(towns[0]) < 3:
-        towns = []
-    own = list(towns)
+    own = [town_form(city)] if city and len(town_form(city)) >= 2 else []
+    towns, short = [], []
     for p in re.split(r"[,0-9#]+", left):
         words = [_SAINTS.get(w, w) for w in re.findall(r"[a-z]+", p)]
         words = [w for w in words if not (w in _COUNTRY_OF and (len(w) > 2 or len(words) == 1))] or []
@@ -193,7 +198,9 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
                 g = _strokes("".join(words[i : i + n]))
                 if len(g) >= 4:
                     towns.append(g)
-    return Parsed(list(streets), list(dict.fromkeys(c for c in codes if c)), list(dict.fromkeys(own + towns))[:24], found_country)
+                elif n == 1 and len(g) >= 2:
+                    short.append(g)
+    return Parsed(list(streets), list(dict.fromkeys(c for c in codes if c)), list(dict.fromkeys(own + towns)), found_country, list(dict.fromkeys(short)))
 
 
 def _shortened(name: str) -> list[str]:
@@ -211,7 +218,7 @@ def _keys(p: Parsed) -> set[int]:
     return found
 
 
-_PARSED = "streets array<struct<name:string,kind:string,number:string>>, postcodes array<string>, towns array<string>, country string"
+_PARSED = "streets array<struct<name:string,kind:string,number:string>>, postcodes array<string>, towns array<string>, country string, short array<string>"
 
 
 def expand(addresses: DataFrame) -> DataFrame:
@@ -223,8 +230,8 @@ def expand(addresses: DataFrame) -> DataFrame:
             for a, text, code, city, country in zip(pdf["a"], pdf["text"], pdf["postcode"], pdf["city"], pdf["country"]):
                 p = parse_address(text, code, city, country)
                 if p:
-                    rows.append((a, [{"name": n, "kind": k, "number": h} for n, k, h in p.streets], p.postcodes, p.towns, p.country, sorted(_keys(p))))
-            yield pd.DataFrame(rows, columns=["a", "streets", "postcodes", "towns", "country", "keys"])
+                    rows.append((a, [{"name": n, "kind": k, "number": h} for n, k, h in p.streets], p.postcodes, p.towns, p.country, p.short, sorted(_keys(p))))
+            yield pd.DataFrame(rows, columns=["a", "streets", "postcodes", "towns", "country", "short", "keys"])
 
     kind = addresses.schema["a"].dataType.simpleString()
     return addresses.select("a", "text", "postcode", "city", "country").mapInPandas(run, f"a {kind}, {_PARSED}, keys array<bigint>")
@@ -248,12 +255,13 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     'street' is left where neither postcode nor town could be compared.
     """
     hashes = left.select("a", F.explode("keys").alias("key")).join(right.select(F.col("a").alias("b"), F.explode("keys").alias("key")), "key").select("a", "b").distinct()
-    one = left.select("a", "streets", F.col("postcodes").alias("codes"), "towns", "country")
-    two = right.select(F.col("a").alias("b"), F.col("streets").alias("streets_b"), F.col("postcodes").alias("codes_b"), F.col("towns").alias("towns_b"), F.col("country").alias("country_b"))
+    one = left.select("a", "streets", F.col("postcodes").alias("codes"), "towns", "country", "short")
+    two = right.select(F.col("a").alias("b"), F.col("streets").alias("streets_b"), F.col("postcodes").alias("codes_b"), F.col("towns").alias("towns_b"), F.col("country").alias("country_b"), F.col("short").alias("short_b"))
     both = hashes.join(one, "a").join(two, "b")
     same = F.exists("streets", lambda x: F.exists("streets_b", lambda y: (x["number"] == y["number"]) & (x["kind"] == y["kind"]) & (F.levenshtein(x["name"], y["name"], 2) >= 0)))
-    code = F.arrays_overlap("codes", "codes_b")
-    town = F.exists("towns", lambda x: F.exists("towns_b", lambda y: _near(x, y)))
+    # a long house number, read as a postcode too, is no evidence for the place
+    code = F.arrays_overlap(F.array_except("codes", F.transform("streets", lambda x: x["number"])), "codes_b")
+    town = F.arrays_overlap("short", "towns_b") | F.arrays_overlap("towns", "short_b") | F.exists("towns", lambda x: F.exists("towns_b", lambda y: _near(x, y)))
     abroad = (F.col("country") != "") & (F.col("country_b") != "") & (F.col("country") != F.col("country_b"))
     judged = both.filter(same).select("a", "b", "country", "codes", F.get("towns_b", F.lit(0)).alias("town_b"), F.coalesce(code, F.lit(False)).alias("code"), F.coalesce(town, F.lit(False)).alias("town"), abroad.alias("abroad"))
     return judged.filter("code or not abroad").select("a", "b", "codes", "town_b", F.when(F.col("code") | F.col("town"), F.lit("place")).otherwise(F.lit("street")).alias("agreed"))
@@ -271,7 +279,7 @@ def same_places(addresses: DataFrame, book: DataFrame) -> DataFrame:
     found = _pairs(left, right)
     # towns the book knows: an address that names one of them elsewhere is no 'address without town'
     towns = right.select(F.get("towns", F.lit(0)).alias("t")).distinct()
-    names_town = left.select("a", F.explode("towns").alias("t")).join(towns, "t", "left_semi").select("a").distinct()
+    names_town = left.select("a", F.explode(F.concat("towns", "short")).alias("t")).join(towns, "t", "left_semi").select("a").distinct()
     sure = found.filter("agreed = 'place'").select("a", "b")
     open_ = found.filter("agreed = 'street' and size(codes) = 0").join(sure.select("a").distinct(), "a", "left_anti").join(names_town, "a", "left_anti")
     single = open_.groupBy("a").agg(F.count_distinct("town_b").alias("n")).filter("n = 1").select("a")
