@@ -87,7 +87,7 @@ def _letters(m: re.Match) -> str:
 
 def _strokes(word: str) -> str:
     """Letters that scanning takes for each other as one."""
-    return word.replace("m", "rn").replace("w", "vv")
+    return word.replace("rn", "m").replace("vv", "w")
 
 
 def town_form(town: str) -> str:

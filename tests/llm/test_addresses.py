@@ -39,13 +39,13 @@ def test_no_reading_is_lost(spark):
 
 
 def test_pairs_against_all_pairs(spark):
-    """The hashes against every pair of addresses: no pair that the comparison accepts is missed."""
+    """The hashes against every pair of addresses of which one has a typing error: no pair that the comparison accepts is missed."""
     import random
 
     from ordermill.llm import addresses as A
 
     rng = random.Random(8)
-    streets = ["".join(rng.choice(["ba", "ke", "li", "mo", "nu", "ra", "so", "ti"]) for _ in range(4)) + rng.choice([" Allee", "strasse", " Platz"]) for _ in range(12)]
+    streets = ["".join(rng.choice("abdefgiklmnoprstu") for _ in range(9)) + rng.choice([" Allee", "strasse", " Platz"]) for _ in range(12)]
     towns = ["Hoerlingsau", "Brakenau", "Tessendorn"]
 
     def spoilt(t):
@@ -59,4 +59,5 @@ def test_pairs_against_all_pairs(spark):
     found = {(r["a"], r["b"]) for r in A._pairs(left, right).collect()}
     everyone = F.array(F.lit(1).cast("long"))
     want = {(r["a"], r["b"]) for r in A._pairs(left.withColumn("keys", everyone), right.withColumn("keys", everyone)).collect()}
-    assert len(want) > 500 and len(want & found) >= 0.95 * len(want) and found <= want
+    assert len(want) > 500 and found <= want
+    assert len(want & found) >= 0.95 * len(want), (len(want), len(want & found), sorted(want - found)[:5])
