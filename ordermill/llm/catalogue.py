@@ -2,9 +2,9 @@
 
 A pigeonhole join by partitions: a reference string is cut into k + 1 segments; a string within k edits holds one of
 them unchanged, at a position that the lengths bound. So the edits become an equality join on positional substrings,
-verified with the built-in levenshtein. Distance 0 (after folding look-alike characters), internal numbers and the
-grade inside a description are joined first, only what they leave goes through the segments, and an anti-join
-reports the rest. All of it is column expressions and joins.
+verified with the built-in levenshtein. The join runs with k = 0 for all strings (codes, internal numbers, the grade in
+a description), then with the k that a reference's length allows for the strings of the lines that are still open; an
+anti-join reports the rest. Look-alike characters are folded before. All of it is column expressions and joins.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.session import bind
+from ordermill.session import bind, cut
 
 NULL_WORDS = ("", "NAN", "NONE", "NULL", "N/A", "NA", "-", "#N/A", "?", "TBD", "X")
 UNMATCHED = "UNMATCHED"
-#: Edits allowed in a code, and in name and grade of a description.
-EDITS = 2
-#: Characters of a code; a shorter or longer string is none.
-SHORTEST, LONGEST = 8, 20
+#: Edits allowed, by the least length of the reference string; shorter ones must be equal.
+EDITS = {8: 2, 5: 1}
+MOST = max(EDITS.values())
+#: Rank of what a description tells, behind the whole code, other codes and internal numbers.
+TOLD = 3
 
 # Words for colours in descriptions, by colour.
 COLOURS = {
@@ -51,10 +52,10 @@ def fold(c: Column) -> Column:
     return F.translate(c, *_FOLD)
 
 
-def _codes(text: Column) -> Column:
-    """Strings in a text that may be a code: the whole, what stands in brackets or behind a mark, first and last words."""
+def _codes(text: Column, field: str) -> Column:
+    """kind, q: strings in a text that may be a code. 'w' is the whole text, as it is and without marks around it; 'c'
+    what stands in brackets or behind a mark, first and last words: in descriptions only those with a digit."""
     parts = F.array(
-        text,
         F.regexp_extract(text, r"\(([^)]+)\)", 1),
         F.regexp_extract(text, r";\s*(.+)$", 1),
         F.regexp_extract(text, r" / ([^ ]+(?: [^ /]+)?)$", 1),
@@ -63,11 +64,17 @@ def _codes(text: Column) -> Column:
         F.regexp_extract(text, r"[ ,;](\S+)$", 1),
         F.regexp_extract(text, r"[ ,;](\S+ \S+)$", 1),
     )
-    clean = F.transform(parts, lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, _NOISE_BEFORE, ""), _NOISE_AFTER, ""), _NOISE_BEFORE, ""))
-    plain = F.transform(clean, _plain)
-    plain = F.array_union(plain, F.transform(plain, lambda p: F.regexp_replace(p, "^00(?=[A-Z0-9]{8})", "")))
-    enough = lambda p: F.length(p).between(SHORTEST, LONGEST) & (F.length(F.regexp_replace(p, "[^0-9OISZB]", "")) >= 6) & (F.length(F.regexp_replace(p, "[^0-9]", "")) >= 4)
-    return F.array_distinct(F.transform(F.filter(plain, enough), fold))
+    bare = lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, _NOISE_BEFORE, ""), _NOISE_AFTER, ""), _NOISE_BEFORE, "")
+    more = lambda ps: F.array_union(ps, F.transform(ps, lambda p: F.regexp_replace(p, "^00(?=[A-Z0-9]{8})", "")))
+    whole = more(F.array(_plain(text), _plain(bare(text))))
+    inside = F.filter(more(F.transform(F.filter(parts, lambda p: p != ""), lambda p: _plain(bare(p)))), lambda p: p.rlike("[0-9]") if field == "description" else F.length(p) >= 3)
+    told = lambda kind, ps: F.transform(F.array_distinct(F.filter(ps, lambda p: p != "")), lambda p: F.struct(F.lit(kind).alias("kind"), fold(p).alias("q")))
+    return F.array_union(told("w", whole), told("c", inside))
+
+
+def _is_code(p: Column) -> Column:
+    """Whether a part of a text may be a misspelt code: a word with four digits and more that look like some."""
+    return (F.length(p) >= 8) & (F.length(F.regexp_replace(p, "[^0-9]", "")) >= 6)
 
 
 def _described(text: Column) -> dict[str, Column]:
@@ -85,14 +92,14 @@ def _described(text: Column) -> dict[str, Column]:
     }
 
 
-def segments(text: Column, k: int = EDITS) -> Column:
+def segments(text: Column, k: int = MOST) -> Column:
     """The k + 1 segments of a reference string: length, number, substring."""
     n = F.length(text)
-    cut = lambda i: F.floor(n * i / (k + 1)).cast("int")
-    return F.array(*[F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(text, cut(i) + 1, cut(i + 1) - cut(i)).alias("s")) for i in range(k + 1)])
+    at = lambda i: F.floor(n * i / (k + 1)).cast("int")
+    return F.array(*[F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(text, at(i) + 1, at(i + 1) - at(i)).alias("s")) for i in range(k + 1)])
 
 
-def probes(text: Column, k: int = EDITS) -> Column:
+def probes(text: Column, k: int = MOST) -> Column:
     """The substrings of a string that can equal a segment of a reference string within k edits.
 
     Of segment i only shifts count that leave at most i edits before it and k - i behind it.
@@ -109,6 +116,19 @@ def probes(text: Column, k: int = EDITS) -> Column:
     return F.array_compact(F.array(*found))
 
 
+def segment_join(asked: DataFrame, references: DataFrame, k: int, least: int = 0, below: int | None = None) -> DataFrame:
+    """kind, q, r, distance: strings of asked (kind, q) and of references (kind, r) within k edits.
+
+    Only references of at least `least` and fewer than `below` characters count. Distinct strings meet once.
+    """
+    sized = lambda n: (n >= least) & (n < below if below else F.lit(True))
+    q = asked.select("kind", "q").distinct()
+    r = references.select("kind", "r").distinct().filter(sized(F.length("r")))
+    near = F.filter(probes(F.col("q"), k), lambda p: sized(p["n"]))
+    met = q.select("kind", "q", F.explode(near).alias("p")).join(r.select("kind", "r", F.explode(segments(F.col("r"), k)).alias("p")), ["kind", "p"])
+    return met.withColumn("distance", F.levenshtein("q", "r", k)).filter("distance >= 0").select("kind", "q", "r", "distance").distinct()
+
+
 def catalogue_entries(materials: DataFrame) -> DataFrame:
     """entry (as spelled), code, internal numbers, grade, name, colour: one row per customer material number."""
     m = materials.select(F.col("customer_material_number").alias("entry"), F.regexp_replace("internal_material_number", r"^0+|\D", "").alias("internal"), "material_description")
@@ -118,15 +138,15 @@ def catalogue_entries(materials: DataFrame) -> DataFrame:
 
 
 def _name_fits(name: Column, other: Column) -> Column:
-    return (F.levenshtein(name, other, EDITS) >= 0) | (F.length(name).between(4, 6) & other.startswith(name))
+    return (F.levenshtein(name, other, MOST) >= 0) | (F.length(name).between(4, 6) & other.startswith(name))
 
 
 def _best(candidates: DataFrame) -> DataFrame:
     """Of each text pair the entry of lowest (rank, distance, disagreement); ties within that go to none but exact ones."""
     order = F.struct("rank", "distance", "disagrees")
-    best = candidates.groupBy("code_text", "desc_text").agg(F.min(F.struct(order.alias("o"), F.col("entry").alias("entry"))).alias("b"), F.min(F.when(F.col("rank") == 2, F.struct(order.alias("o"), F.col("entry")))).alias("lo"), F.max(F.when(F.col("rank") == 2, F.col("entry"))).alias("hi"))
+    best = candidates.groupBy("code_text", "desc_text").agg(F.min(F.struct(order.alias("o"), F.col("entry").alias("entry"))).alias("b"), F.min(F.when(F.col("rank") == TOLD, F.struct(order.alias("o"), F.col("entry")))).alias("lo"), F.max(F.when(F.col("rank") == TOLD, F.col("entry"))).alias("hi"))
     # a description that fits several entries says nothing
-    open_ = (F.col("b.o.rank") == 2) & (F.col("lo.entry") != F.col("hi"))
+    open_ = (F.col("b.o.rank") == TOLD) & (F.col("lo.entry") != F.col("hi"))
     return best.filter(~F.coalesce(open_, F.lit(False))).select("code_text", "desc_text", F.col("b.entry").alias("entry"), F.col("b.o.distance").alias("distance"))
 
 
@@ -134,7 +154,7 @@ def map_to_catalogue(lines: DataFrame, materials: DataFrame) -> DataFrame:
     """line_id, customer_material_number (UNMATCHED if the line names what is no entry), distance (edits; NULL for none).
 
     A line with neither code nor description gives no row; repeated lines one each. With an empty list every line
-    is UNMATCHED. Texts are compared whole; lines with the same two texts are matched once.
+    is UNMATCHED. Texts and codes of any length are compared whole; lines with the same two texts are matched once.
     """
     entries = catalogue_entries(materials)
     texts = lines.select("line_id", F.coalesce(_text(F.col("material_code")), F.lit("")).alias("code_text"), F.coalesce(_text(F.col("description")), F.lit("")).alias("desc_text")).filter("code_text != '' or desc_text != ''")
@@ -143,31 +163,41 @@ def map_to_catalogue(lines: DataFrame, materials: DataFrame) -> DataFrame:
     swapped = F.col("code_text").rlike(r"[A-Z]{4,}") & F.col("code_text").rlike(_GRADE)
     told = F.when(swapped, F.concat_ws(" ", "code_text", "desc_text")).otherwise(F.col("desc_text"))
     number = F.regexp_extract("code_text", r"^0*([1-9]\d{5,17})$", 1)
-    pairs = bind(pairs, codes=F.array_union(_codes(F.col("code_text")), _codes(F.col("desc_text"))), number=number, **_described(told))
-
-    keys = F.array_union(F.array_union(F.transform("codes", lambda c: F.concat(F.lit("c"), c)), F.array(F.concat(F.lit("i"), "number"))), F.array(F.concat(F.lit("g"), F.coalesce("grade", F.lit("")))))
-    asked = pairs.select("code_text", "desc_text", "grade", "name", "colour", F.explode(F.filter(keys, lambda k: F.length(k) > 1)).alias("key"))
-    answers = entries.select("entry", "r_grade", "r_name", "r_colour", F.explode(F.filter(F.array_union(F.array_union(F.array(F.concat(F.lit("c"), "code")), F.transform("internals", lambda i: F.concat(F.lit("i"), i))), F.array(F.concat(F.lit("g"), F.coalesce("r_grade", F.lit(""))))), lambda k: F.length(k) > 1)).alias("key"))
+    pairs = bind(pairs, codes=F.array_union(_codes(F.col("code_text"), "code"), _codes(F.col("desc_text"), "description")), number=number, **_described(told))
+    string = lambda kind, q: F.struct(F.lit(kind).alias("kind"), q.alias("q"))
+    described = F.filter(F.array(string("i", F.col("number")), string("g", F.coalesce("grade", F.lit("")))), lambda x: x["q"] != "")
+    # two joins read the strings, so they are made once
+    pairs = cut(pairs.select("code_text", "desc_text", "grade", "name", "colour", F.array_union("codes", described).alias("strings")))
+
+    reference = lambda kind, r: F.struct(F.lit(kind).alias("kind"), r.alias("r"))
+    known = F.array_union(F.array(reference("w", F.col("code")), reference("c", F.col("code")), reference("g", F.coalesce("r_grade", F.lit("")))), F.transform("internals", lambda i: reference("i", i)))
+    answers = entries.select("entry", "r_grade", "r_name", "r_colour", F.inline(F.filter(known, lambda x: x["r"] != "")))
     same_colour = F.col("colour") == F.col("r_colour")
     agrees = F.coalesce((F.col("grade") == F.col("r_grade")), F.lit(False)).cast("int") + F.coalesce(same_colour, F.lit(False)).cast("int")
-    kind = F.substring("key", 1, 1)
+    columns = ["code_text", "desc_text", "entry", "rank", "distance", (2 - agrees).alias("disagrees")]
+    rank = F.when(F.col("kind") == "w", 0).when(F.col("kind") == "c", 1).when(F.col("kind") == "i", 2).otherwise(TOLD).alias("rank")
+
+    asked = pairs.select("code_text", "desc_text", "grade", "name", "colour", F.inline("strings"))
+    # with k = 0 the one segment is the whole string and equality is the verification
+    equal = asked.withColumnRenamed("q", "r").join(answers, ["kind", "r"]).withColumns({"rank": rank, "distance": F.lit(0)})
     fits = _name_fits(F.col("name"), F.col("r_name")) & (same_colour | F.col("colour").isNull())
-    exact = asked.join(answers, "key").filter((kind != "g") | fits).select(
-        "code_text", "desc_text", "entry", F.when(kind == "c", 0).when(kind == "i", 1).otherwise(2).alias("rank"), F.lit(0).alias("distance"), (2 - agrees).alias("disagrees")
-    )
-    first = _best(exact)
+    first = _best(equal.filter((F.col("kind") != "g") | fits).select(*columns))
 
+    # of the lines still open: codes, and grade + name as one string
     rest = pairs.join(first, ["code_text", "desc_text"], "left_anti")
     told_as = lambda g, n: fold(F.concat(g, n))
-    # codes and 'grade + name' strings go through the same join, told apart by a letter that is no part of the match
-    rest = bind(rest, strings=F.array_union(F.transform("codes", lambda c: F.struct(F.lit("c").alias("kind"), c.alias("q"))), F.filter(F.array(F.struct(F.lit("d").alias("kind"), told_as(F.col("grade"), F.col("name")).alias("q"))), lambda x: F.length(x["q"]) >= 10)))
-    rest = rest.select("code_text", "desc_text", "grade", "colour", F.explode("strings").alias("x")).select("code_text", "desc_text", "grade", "colour", "x.kind", "x.q")
-    cut = entries.select("entry", "r_grade", "r_colour", F.explode(F.array(F.struct(F.lit("c").alias("kind"), F.col("code").alias("r")), F.struct(F.lit("d").alias("kind"), told_as(F.col("r_grade"), F.col("r_name")).alias("r")))).alias("x")).select("entry", "r_grade", "r_colour", "x.kind", "x.r").filter("length(r) >= 8")
-    cut = cut.select("*", F.explode(segments(F.col("r"))).alias("p"))
-    near = rest.select("*", F.explode(probes(F.col("q"))).alias("p")).join(cut, ["kind", "p"])
-    near = near.withColumn("distance", F.levenshtein("q", "r", EDITS)).filter("distance >= 0").filter((F.col("kind") == "c") | F.coalesce(same_colour, F.col("colour").isNull()))
-    near = near.select("code_text", "desc_text", "entry", F.when(F.col("kind") == "c", 0).otherwise(2).alias("rank"), "distance", (2 - agrees).alias("disagrees"))
-    second = _best(near)
+    both = F.filter(F.array(string("d", told_as(F.col("grade"), F.col("name")))), lambda x: F.length(x["q"]) >= 10)
+    codes = F.filter("strings", lambda x: (x["kind"] == "w") | ((x["kind"] == "c") & _is_code(x["q"])))
+    rest = cut(rest.select("code_text", "desc_text", "grade", "name", "colour", F.inline(F.array_union(codes, both))))
+    whole = F.array(reference("w", F.col("code")), reference("c", F.col("code")), reference("d", told_as(F.col("r_grade"), F.col("r_name"))))
+    spelled = cut(entries.select("entry", "r_grade", "r_name", "r_colour", F.inline(F.filter(whole, lambda x: F.length(x["r"]) >= min(EDITS)))))
+    longest = None
+    met = None
+    for least, k in sorted(EDITS.items(), reverse=True):
+        part = segment_join(rest, spelled, k, least, longest)
+        met, longest = part if met is None else met.unionByName(part), least
+    near = rest.join(met, ["kind", "q"]).join(spelled, ["kind", "r"]).withColumn("rank", rank).filter((F.col("kind") != "d") | F.coalesce(same_colour, F.col("colour").isNull()))
+    second = _best(near.select(*columns))
 
     found = first.unionByName(second)
     matched = texts.join(found, ["code_text", "desc_text"])

@@ -61,3 +61,30 @@ def test_pigeonhole_join_finds_every_pair_within_two_edits(spark):
         return last[-1]
 
     assert got == {(a, b) for a in set(asked) for b in set(refs) if distance(a, b) <= 2}
+
+
+def test_codes_of_any_shape(spark):
+    """Entries without digits, short and very long ones: an exact spelling always maps, edits as the length allows."""
+    entries = ["AB-1234", "ABCDEFGHIJ", "ABC-1234-5678-9012-3456-78", "X7", "PN-5571", "LONG" * 60]
+    m = spark.createDataFrame([(e, None, None) for e in entries], "customer_material_number string, internal_material_number string, material_description string")
+    cases = [*[(e, e) for e in entries], ("AB-1235", "AB-1234"), ("AB-1255", "UNMATCHED"), ("ABCDEFGHXX", "ABCDEFGHIJ"), ("ABC-1234-5678-9012-3466-7", "ABC-1234-5678-9012-3456-78"), ("X8", "UNMATCHED"), ("LONG" * 59 + "LNG", "LONG" * 60), ("x7", "X7")]
+    lines = spark.createDataFrame([(i, c, None) for i, (c, _) in enumerate(cases)], "line_id long, material_code string, description string")
+    got = {r["line_id"]: r["customer_material_number"] for r in map_to_catalogue(lines, m).collect()}
+    for i, (c, want) in enumerate(cases):
+        assert got[i] == want, c
+
+
+def test_join_for_every_number_of_edits(spark):
+    """segment_join against brute force for k = 0, 1 and 2, with bounds on the length of references."""
+    import random
+
+    from ordermill.llm.catalogue import segment_join
+
+    rng = random.Random(9)
+    refs = ["".join(rng.choice("AB1") for _ in range(rng.randrange(3, 11))) for _ in range(80)]
+    asked = [r[:i] + rng.choice(["", "A", "1B"]) + r[i + rng.randrange(2) :] for r in refs for i in (1, 2)]
+    q, r = spark.createDataFrame([("c", x) for x in asked], "kind string, q string"), spark.createDataFrame([("c", x) for x in refs], "kind string, r string")
+    for k in (0, 1, 2):
+        got = {(x["q"], x["r"]) for x in segment_join(q, r, k, 4, 9).collect()}
+        both = q.select("q").distinct().crossJoin(r.select("r").distinct().filter("length(r) between 4 and 8"))
+        assert got == {(x["q"], x["r"]) for x in both.filter(F.levenshtein("q", "r") <= k).collect()}
