@@ -86,7 +86,12 @@ def _letters(m: re.Match) -> str:
 
 
 def _strokes(word: str) -> str:
-    """Letters that scanning takes for each other as one."""
+    """Letters that scanning takes for each other as one: towns, compared by edits as their length allows."""
+    return word.replace("m", "rn").replace("w", "vv")
+
+
+def _letter(word: str) -> str:
+    """The same for streets, of which every letter is left out once: one letter each."""
     return word.replace("rn", "m").replace("vv", "w")
 
 
@@ -154,7 +159,7 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
         for m, x, y in few or hits:
             if int(m.group(1)):
                 for k in sorted(kinds):
-                    streets.setdefault((_strokes(name), k, str(int(m.group(1))) + (m.group(2) or "")))
+                    streets.setdefault((_letter(name), k, str(int(m.group(1))) + (m.group(2) or "")))
                 used.append((min(a, x), max(b, y)) if few or len(m.group(1)) == 4 and x < a else (a, b))
 
     for m in re.finditer(r"[a-z]+(?: ?- ?[a-z]+)?", flat):
