@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.addresses import _COUNTRY_OF, parse_address, town_form
 from ordermill.llm.addresses import folded as folded_place
-from ordermill.llm.names import MARGIN, NAME, TOKEN, _contradict, _edits, agree, gram_candidates, grams, parse_name, parsed_names, token_similarity, with_grams
+from ordermill.llm.names import MARGIN, NAME, TOKEN, Weights, _contradict, _edits, agree, gram_candidates, grams, parse_name, parsed_names, token_similarity, with_grams
 from ordermill.session import cut
 
 #: Rows of the vector table (tokens are hashed to them) and their length: the model's size, whatever the data's.
@@ -477,7 +477,7 @@ def _says_nothing(c: str):
     return F.col(c).isNull() | F.col(c).rlike(r"(?i)^[\W\d_]*(?:[a-z]{1,2}[- ]?)?\d[\d\W]*$")
 
 
-def _common_words(owners: DataFrame) -> tuple[dict[str, float], float]:
+def _common_words(owners: DataFrame) -> tuple[Weights, float]:
     """Weights of the words that many customers share, and the weight of all others; see names.link_names."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -488,7 +488,7 @@ def _common_words(owners: DataFrame) -> tuple[dict[str, float], float]:
     n = owners.select("customer_number").distinct().count()
     kind = owners.schema["customer_number"].dataType.simpleString()
     counts = owners.mapInPandas(run, f"customer_number {kind}, token string").groupBy("token").agg(F.count_distinct("customer_number").alias("n")).filter(F.col("n") > 5 + 0.0005 * n)
-    return {r["token"]: max(0.3, math.log(1 + n / r["n"]) * 0.45) for r in counts.toLocalIterator()}, math.log(1 + n / 2)
+    return Weights({r["token"]: max(0.3, math.log(1 + n / r["n"]) * 0.45) for r in counts.toLocalIterator()}), math.log(1 + n / 2)
 
 
 def _towns(places: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,8 +25,9 @@ from ordermill.session import cut
 Q = 3
 #: Share of a name's grams that a partner must hold; it fixes the length of the looked-up prefix.
 OVERLAP = 0.4
-#: A longer text is no name.
-LONGEST = 300
+#: Names of more grams than this are looked up by single grams, the others by pairs of grams, whose number grows with
+#: the square of the name's grams.
+MANY = 96
 #: Least similarity of two tokens, and of a linked pair of names.
 TOKEN, NAME = 0.74, 0.72
 #: Names this close to the best one may be the same organisation under another number.
@@ -40,14 +43,15 @@ _LEGAL_WIDE = re.compile(r"[(（]集[团團][)）]|集[团團](?=有限|股份|
 # Words around a name that are no part of it.
 # Traditional characters of company names and their simplified forms.
 _SIMPLE = str.maketrans("錦遠裝莊製業電機東華廠國際貿實發銀鋼鐵鋁塑膠纖維張陳劉黃孫楊趙吳鄭馮蔣龍鳳豐興榮達運輸車馬橋連環藝術應線纜組織紡絲綢為聯萬億廣門闊廈濱灣島嶺維嵐澤磐盤創匯產師資優質選極階層級類號學會團集辦處務財報價額銷營維瀾瑩晟陽陰", "锦远装庄制业电机东华厂国际贸实发银钢铁铝塑胶纤维张陈刘黄孙杨赵吴郑冯蒋龙凤丰兴荣达运输车马桥连环艺术应线缆组织纺丝绸为联万亿广门阔厦滨湾岛岭维岚泽磐盘创汇产师资优质选极阶层级类号学会团集办处务财报价额销营维澜莹晟阳阴")
-_BESIDE = re.compile(r"\[.*?\]|\((?!주|株).*?\)|\bc/o\b.*$|\battn\b.*$|\bz\.? ?hd\.?\b.*$|/ ?\d{3,}\s*$|,? ?\bdept\.? ?\d*|gate ?\d+\s*$|\b(?:ap dept|head office|purchasing|einkauf|goods in|accounts payable|compras|achats|acquisti)\b|^\s*(?:the|m/s\.?|messrs\.?|fa\.?|firma|kd\.?|kunde|société|ste\.?|sté\.?|soc\.?|ets\.?|company)\s+", re.I)
+_BESIDE = re.compile(r"\[[^\[\]]*\]|\((?!주|株)[^()]*\)|\bc/o\b.*$|\battn\b.*$|\bz\.? ?hd\.?\b.*$|/ ?\d{3,}\s*$|,? ?\bdept\.? ?\d*|gate ?\d+\s*$|\b(?:ap dept|head office|purchasing|einkauf|goods in|accounts payable|compras|achats|acquisti)\b|^\s*(?:the|m/s\.?|messrs\.?|fa\.?|firma|kd\.?|kunde|société|ste\.?|sté\.?|soc\.?|ets\.?|company)\s+", re.I)
 # Short forms of first names.
 _NICK = "mike=michael rob=robert bob=robert bill=william will=william beppe=giuseppe pino=giuseppe peppe=giuseppe fco=francisco paco=francisco pancho=francisco chris=christopher kathy=katharina kathi=katharina kate=katharina kath=katharina alex=alexander tom=thomas dick=richard rick=richard rich=richard liz=elizabeth beth=elizabeth betty=elizabeth joe=joseph toni=antonio tony=antonio maggie=margaret meg=margaret peggy=margaret charlie=charles chuck=charles fritz=friedrich fred=friedrich heinz=heinrich heiner=heinrich willi=wilhelm hans=johannes jo=johannes hannes=johannes jim=james dave=david steve=stephen andy=andreas"
 _NICKS = dict(x.split("=") for x in _NICK.split())
 _FORMS = sorted(((w, k) for k, ws in _LEGAL.items() for w in ws.split("|")), key=lambda x: -len(x[0]))
 _FORM_RE = re.compile(r"(?<![a-z0-9])(%s)(?![a-z0-9])" % "|".join(re.escape(w) for w, _ in _FORMS))
 _FORM_OF = dict(_FORMS)
-_CODE = re.compile(r"^[\W\d_]*(?:[a-z]{1,2}[- ]?)?\d[\d\W]*$", re.I)
+# quantifiers that give nothing back, so that very long texts take linear time
+_CODE = re.compile(r"^(?=\D*+\d)[\W\d_]*+(?:[a-z]{1,2}[- ]?\d[\d\W]*+)?$", re.I)
 _REMARK = re.compile(r"^(see letterhead|see .*|siehe .*|as above|same|n/?a|none|null|nan|tbd|unknown|various|diverse|-+|\?+)?$", re.I)
 
 
@@ -65,8 +69,8 @@ def _digits(m: re.Match) -> str:
 
 @lru_cache(120_000)
 def parse_name(name: str | None) -> tuple[tuple[str, ...], str]:
-    """(tokens, legal form) of a name; no tokens for blanks, remarks, bare numbers and texts longer than LONGEST."""
-    if not name or len(name) > LONGEST or _REMARK.match(name.strip()) or _CODE.match(name.strip()):
+    """(tokens, legal form) of a name; no tokens for blanks, remarks and bare numbers."""
+    if not name or _REMARK.match(name.strip()) or _CODE.match(name.strip()):
         return (), ""
     t = _BESIDE.sub(" ", name.replace("_", " "))
     t = _BESIDE.sub(" ", t)
@@ -87,8 +91,13 @@ def parse_name(name: str | None) -> tuple[tuple[str, ...], str]:
         words = words[:half]
     # 'ACME GMBHGate', doubled with something glued to the end
     seen: dict[str, None] = {}
+    times = Counter(words)
+    first: dict[str, int] = {}
+    for i, w in enumerate(words):
+        first.setdefault(w, i)
     for w in words:
-        if not any(w == x or (len(x) >= 4 and w.startswith(x) and len(w) - len(x) <= 4 and x in seen and words.count(x) == 1 and words.index(x) < words.index(w) - 1) for x in seen):
+        heads = (w[:n] for n in range(max(4, len(w) - 4), len(w)))
+        if w not in seen and not any(x in seen and times[x] == 1 and first[x] < first[w] - 1 for x in heads):
             seen[w] = None
     # scanning takes 'rn' for 'm'
     return tuple(dict.fromkeys(w.replace("rn", "m") for w in seen)), legal
@@ -178,20 +187,29 @@ def _matched(t: str, others: tuple[str, ...], joined: str) -> float:
     return best
 
 
-_LIKE: dict[tuple[int, str], bool] = {}
+class Weights(dict):
+    """Weight by token of the common words of one run; run tells the answers that a worker keeps from those of other runs."""
 
+    def __init__(self, *args) -> None:
+        super().__init__(*args)
+        self.run = uuid.uuid4().hex
 
-def _like_common(t: str, weight: dict[str, float]) -> bool:
+
+_LIKE: dict[str, dict[str, bool]] = {}
+
+
+def _like_common(t: str, weight: Weights) -> bool:
     """Whether a token is a short form or a misspelling of a common word."""
-    key = (id(weight), t)
-    if key not in _LIKE:
-        if len(_LIKE) > 50_000:
-            _LIKE.clear()
-        _LIKE[key] = any(token_similarity(t, c) >= TOKEN for c in weight if c[0] == t[0] and len(c) >= 4)
-    return _LIKE[key]
+    known = _LIKE.get(weight.run)
+    if known is None or len(known) > 50_000:
+        _LIKE.clear()
+        known = _LIKE[weight.run] = {}
+    if t not in known:
+        known[t] = any(token_similarity(t, c) >= TOKEN for c in weight if c[0] == t[0] and len(c) >= 4)
+    return known[t]
 
 
-def agree(q: tuple[str, ...], m: tuple[str, ...], weight: dict[str, float], rare: float) -> float:
+def agree(q: tuple[str, ...], m: tuple[str, ...], weight: Weights, rare: float) -> float:
     """Soft weighted similarity of two names; 0 if rare tokens have no partner or common ones contradict."""
     qj, mj = "".join(q), "".join(m)
     total = got = 0.0
@@ -226,7 +244,7 @@ def agree(q: tuple[str, ...], m: tuple[str, ...], weight: dict[str, float], rare
     return got / total if total else 0.0
 
 
-def _contradict(a: tuple[str, ...], b: tuple[str, ...], form_a: str, form_b: str, weight: dict[str, float], rare: float) -> bool:
+def _contradict(a: tuple[str, ...], b: tuple[str, ...], form_a: str, form_b: str, weight: Weights, rare: float) -> bool:
     return (agree(a, b, weight, rare) < NAME and agree(b, a, weight, rare) < NAME) or (bool(form_a) and bool(form_b) and form_a != form_b and {form_a, form_b} not in ({"ltd", "coltd"}, {"ltd", "pvtltd"}, {"coltd", "pvtltd"}))
 
 
@@ -243,13 +261,16 @@ def parsed_names(names: DataFrame) -> DataFrame:
 
 
 def with_grams(parsed: DataFrame, common: DataFrame) -> DataFrame:
-    """Adds grams: those of the tokens that few customers share; of all tokens where there are no others."""
+    """Adds grams: those of the tokens that few customers share; of all tokens where there are no others. Tokens of two
+    letters count whole, single letters where a name has nothing else."""
     single = parsed.select("name", F.explode("tokens").alias("token"))
     kept = single.join(common, "token", "left_anti").groupBy("name").agg(F.collect_set("token").alias("rare"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(grams=[grams(tuple(r if r is not None and len(r) else t)) for r, t in zip(pdf["rare"], pdf["tokens"])])[["name", "tokens", "form", "grams"]]
+            told = [tuple(r) if r is not None and len(r) else tuple(t) for r, t in zip(pdf["rare"], pdf["tokens"])]
+            short = [[f"={w}" for w in t if len(w) == 2 and w < "⺀"] for t in told]
+            yield pdf.assign(grams=[grams(t) + s or [f"={w}" for w in t] for t, s in zip(told, short)])[["name", "tokens", "form", "grams"]]
 
     return parsed.join(kept, "name", "left").mapInPandas(run, "name string, tokens array<string>, form string, grams array<string>")
 
@@ -270,9 +291,14 @@ def gram_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     # few names hold both, and lists stay short however many names there are
     share = F.ceil(F.col("k") * OVERLAP).cast("int")
     least = F.least(share, F.lit(2))
-    prefix = F.transform(F.slice("gs", F.lit(1), F.col("k") - share + least), lambda x: x["g"])
-    lookup = ordered.select(F.xxhash64("name").alias("i"), F.explode(F.when(least == 1, prefix).otherwise(_gram_pairs(prefix))).alias("g")).select("i", F.xxhash64("g").alias("g"))
-    coded = right.select(F.xxhash64("name").alias("j"), F.explode(F.array_union("grams", _gram_pairs(F.col("grams")))).alias("g")).select("j", F.xxhash64("g").alias("g"))
+    rarest = lambda n: F.transform(F.slice("gs", F.lit(1), F.col("k") - share + n), lambda x: x["g"])
+    # names of very many grams on either side are looked up by the single grams of the prefix
+    single = F.transform(rarest(F.lit(1)), lambda g: F.concat(F.lit("="), g))
+    asked = F.when(F.col("k") > MANY, F.concat(rarest(F.lit(1)), single)).otherwise(F.concat(F.when(least == 1, rarest(least)).otherwise(_gram_pairs(rarest(least))), single))
+    lookup = ordered.select(F.xxhash64("name").alias("i"), F.explode(asked).alias("g")).select("i", F.xxhash64("g").alias("g"))
+    many = F.size("grams") > MANY
+    held = F.when(many, F.concat("grams", F.transform("grams", lambda g: F.concat(F.lit("="), g)))).otherwise(F.concat("grams", _gram_pairs(F.when(many, F.slice("grams", 1, 0)).otherwise(F.col("grams")))))
+    coded = right.select(F.xxhash64("name").alias("j"), F.explode(held).alias("g")).select("j", F.xxhash64("g").alias("g"))
     pairs = lookup.join(coded, "g").select("i", "j").distinct()
     return pairs.join(left.select("name", F.xxhash64("name").alias("i")), "i").join(right.select(F.col("name").alias("m"), F.xxhash64("name").alias("j")), "j").select("name", "m")
 
@@ -293,7 +319,7 @@ def link_names(names: DataFrame, master: DataFrame) -> DataFrame:
     common = cut(counts.filter(F.col("n") > bound))
     few = {r["token"]: r["n"] for r in common.toLocalIterator()}
     rare = math.log(1 + customers / 2)
-    weight = {t: max(0.3, math.log(1 + customers / n) * 0.45) for t, n in few.items()}
+    weight = Weights({t: max(0.3, math.log(1 + customers / n) * 0.45) for t, n in few.items()})
     # common words in the short forms of which people write them must not pass as rare
     shared = spark.sparkContext.broadcast((weight, rare))
 

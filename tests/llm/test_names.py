@@ -46,3 +46,35 @@ def test_prefix_finds_every_pair_of_enough_overlap(spark):
     got = {(r["name"], r["customer_number"]) for r in link_names(spark.createDataFrame([(t,) for t in typed], "name string"), master).collect()}
     hits = sum((t, str(i)) in got for i, t in enumerate(typed))
     assert hits >= 0.95 * len(typed)
+
+
+def test_texts_of_any_length(spark):
+    """Names with remarks of hundreds of characters, names of two letters, and texts without end."""
+    master = spark.createDataFrame(MASTER + FILL + [("20", "BP AG"), ("21", "QX Packaging Inc."), ("22", " ".join(f"Zw{a}{b}lan" for a in "abcdefgh" for b in "klmnopqr"))], "customer_number string, name string")
+    cases = [("Preixdicherk Automotive LLC (" + "deliver before noon, " * 20 + ")", {"1"}), ("BP AG", {"20"}), ("bp a.g.", {"20"}), ("QX Pkg Inc.", {"21"}), (" ".join(f"Zw{a}{b}lan" for a in "abcdefgh" for b in "klmnopqr"), {"22"}), (" ".join(f"word{i}x" for i in range(9000)), set()), ("1" * 20000 + "ab", set())]
+    got = [(r["name"], r["customer_number"]) for r in link_names(spark.createDataFrame([(n,) for n, _ in cases], "name string"), master).collect()]
+    for n, want in cases:
+        assert {c for m, c in got if m == n} == want, n[:60]
+
+
+def test_candidates_against_all_pairs(spark, monkeypatch):
+    """gram_candidates against every pair: all of enough shared grams are found, by pairs and by single grams alike."""
+    import math
+
+    from ordermill.llm import names as N
+
+    rng = random.Random(7)
+    core = lambda: "".join(rng.choice(["ba", "ke", "li", "mo", "nu", "ra", "so", "ti"]) for _ in range(rng.randrange(2, 7)))
+    rows = [(n, grams((n,))) for n in {core() for _ in range(200)}]
+    left, right = spark.createDataFrame(rows[:100], "name string, grams array<string>"), spark.createDataFrame(rows[60:], "name string, grams array<string>")
+    want = {(a, b) for a, g in rows[:100] for b, h in rows[60:] if len(set(g) & set(h)) >= max(1, math.ceil(N.OVERLAP * len(g)))}
+    for many in (96, 4):
+        monkeypatch.setattr(N, "MANY", many)
+        assert len(want) > 100 and want <= {(r["name"], r["m"]) for r in N.gram_candidates(left, right).collect()}
+
+
+def test_answers_of_another_run_are_not_used():
+    from ordermill.llm.names import Weights, _like_common
+
+    a, b = Weights({"packaging": 1.0}), Weights({"automotive": 1.0})
+    assert _like_common("packagin", a) and not _like_common("packagin", b) and _like_common("packagin", a)
