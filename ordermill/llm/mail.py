@@ -14,6 +14,7 @@ import html
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 
 AUTHORED, PREFIXED, QUOTED, SIGNATURE, NOTICE = range(5)
 STATES = 5
-#: Segments of quotes and authored text longer than this have the length score of this length.
+#: Longer segments have the length score of this length.
 LONG = 24
-#: Longest signature or notice, in visible lines.
+#: Lines from which on a signature or notice gets no less likely by the weights given here.
 SHORT = 14
 BUCKETS = 1 << 16
 
@@ -72,6 +73,7 @@ class Line:
         self.cue = _cue(self.text)
 
 
+@lru_cache(100_000)
 def _cue(t: str) -> str:
     if not t:
         return "empty"
@@ -178,8 +180,8 @@ class Taught:
         if lengths is None:
             lengths = np.zeros((STATES, LONG + 1))
             for n in range(LONG + 1):
-                lengths[SIGNATURE, n] = -0.35 * abs(n - 4)
-                lengths[NOTICE, n] = -0.5 * (n - 1)
+                lengths[SIGNATURE, n] = -0.35 * abs(min(n, SHORT) - 4)
+                lengths[NOTICE, n] = -0.5 * (min(n, SHORT) - 1)
         self.lengths = lengths.tolist()
 
 
@@ -262,33 +264,44 @@ def decode(lines: list[Line], taught: Taught) -> list[tuple[int, int, int]]:
             attribution[i] = next(k for k in range(1, 4) if lines[i + k].depth)
     best = [[-1e18] * STATES for _ in range(n + 1)]
     back: list[list[tuple[int, int] | None]] = [[None] * STATES for _ in range(n + 1)]
-    # open_[s]: best score of a long segment of state s that began LONG or more lines ago, less its emissions
+    # open_[s]: best score, less its emissions, of a segment of state s that began so long ago that its length counts no
+    # more: LONG lines for signatures and notices; other segments have no length score, so any that began before
     enter = [[-1e18] * STATES for _ in range(n + 1)]
     came = [[-1] * STATES for _ in range(n + 1)]
     open_: list[tuple[float, int]] = [(-1e18, 0)] * STATES
     for j in range(n + 1):
         if j:
             for s in range(STATES):
-                most = SHORT if s >= SIGNATURE else LONG - 1
                 top, arg = -1e18, None
                 es = e[j][s]
-                for i in range(max(0, j - most), j):
-                    if enter[i][s] < -1e17:
-                        continue
-                    v = enter[i][s] + es - e[i][s] + lengths[s][j - i]
-                    if s == PREFIXED and attribution[i]:
-                        v += 9.0 * min(attribution[i], j - i)
-                    elif s == SIGNATURE and j - i == 1 and lines[i].cue in ("name", "short", "company"):
-                        v -= 2.5
-                    if v > top:
-                        top, arg = v, i
-                if s < SIGNATURE and j >= LONG:
-                    i = j - LONG
-                    v = enter[i][s] - e[i][s] + (9.0 * attribution[i] if s == PREFIXED else 0)
+                if s < SIGNATURE:
+                    i = j - 1
+                    v = enter[i][s] - e[i][s] + (9.0 * attribution[i] if s == PREFIXED else 0.0)
                     if v > open_[s][0]:
                         open_[s] = (v, i)
-                    if open_[s][0] + es + lengths[s][LONG] > top:
-                        top, arg = open_[s][0] + es + lengths[s][LONG], open_[s][1]
+                    if open_[s][0] > -1e17:
+                        top, arg = open_[s][0] + es, open_[s][1]
+                    if s == PREFIXED:
+                        # an attribution that isn't over yet counts for the lines it has so far
+                        i = arg if arg is not None else 0
+                        if arg is not None and j - i < attribution[i]:
+                            top, arg = max((enter[i][s] + es - e[i][s] + 9.0 * min(attribution[i], j - i), i) for i in range(j) if enter[i][s] > -1e17)
+                else:
+                    ls = lengths[s]
+                    for i in range(max(0, j - LONG + 1), j):
+                        v = enter[i][s] - e[i][s] + ls[j - i]
+                        if s == SIGNATURE and j - i == 1 and lines[i].cue in ("name", "short", "company"):
+                            v -= 2.5
+                        if v > top:
+                            top, arg = v, i
+                    if j >= LONG:
+                        i = j - LONG
+                        v = enter[i][s] - e[i][s]
+                        if v > open_[s][0]:
+                            open_[s] = (v, i)
+                        if open_[s][0] + ls[LONG] > top:
+                            top, arg = open_[s][0] + ls[LONG], open_[s][1]
+                    top, arg = (top + es, arg) if top > -1e17 else (-1e18, None)
                 if s == QUOTED and j < n and top > -1e17:
                     # ends early only where a cited block ends
                     top += 0.0 if lines[j - 1].cited and not lines[j].cited else (-8.0 if not lines[j - 1].depth else -3.0)
@@ -349,6 +362,7 @@ def teach(messages: DataFrame, key: str = "message_no", weight: float = 0.5, mos
     odds[:, QUOTED] = 0
     ls = np.log((lengths + 0.5) / (lengths.sum(0) + 0.5 * (LONG + 1))).T
     ls -= ls.max(1, keepdims=True)
+    # quotes and authored text of any length are alike; decode() relies on it
     base = np.array(Taught().lengths)
     base[SIGNATURE:] = 0.5 * base[SIGNATURE:] + 0.5 * np.maximum(ls[SIGNATURE:], -6)
     return Taught(odds, base)

@@ -58,3 +58,49 @@ def test_operator(spark):
         assert {n for k, n in got if k == i} == want
     assert sum(k == 0 for k, _ in got) == 2 * len(BODIES[0][2]) and not {100, 101, 102} & {k for k, _ in got}
     assert new_lines(df.limit(0)).count() == 0
+
+
+def test_long_notices_and_signatures():
+    """Legal text and signatures of any number of lines stay one kind of span."""
+    from ordermill.llm import mail
+
+    legal = "This e-mail is confidential and intended only for the intended recipient of it, number {0}."
+    for n in (1, 5, 14, 15, 20, 40, 90):
+        body = "Hi all,\nPlease send the goods by Monday.\n\nKind regards,\nJoe Doe\n\n" + "\n".join(legal.format(i) for i in range(n))
+        lines = visible_lines(body, False)
+        kinds = [s for i, j, s in decode(lines, Taught()) for _ in lines[i:j]]
+        assert kinds == [mail.AUTHORED] * 2 + [mail.SIGNATURE] * 2 + [mail.NOTICE] * n, n
+    for n in (3, 13, 14, 20, 60):
+        body = "Hi all,\nPlease send the goods by Monday.\n\nKind regards,\nJoe Doe\n" + "\n".join(f"Tel. +49 123 45{i:04d}" for i in range(n))
+        assert authored("text", body) == {1, 2}, n
+
+
+def test_division_against_all_segments():
+    """decode() against plain dynamic programming over all segments of any length, on random mixtures of lines."""
+    import random
+
+    from ordermill.llm import mail
+
+    rng = random.Random(3)
+    pool = ["Hi all,", "Please send it.", "Kind regards,", "Joe Doe", "ACME GmbH", "Tel. +49 123 456789", "> old words", "On 2024-01-02 10:00, John wrote:", "From: A <a@b.example>", "Sent: 01.02.2024", "This e-mail is confidential and for you.", "P.S. We need it now.", "-- ", "short one"]
+    for _ in range(60):
+        body = "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 45)))
+        lines = visible_lines(body, False)
+        got = decode(lines, Taught())
+        e, starts, lengths, n = mail._emissions(lines, Taught()), mail._starts(lines), Taught().lengths, len(lines)
+        mark = [next(k for k in range(1, 4) if lines[i + k].depth) if not lines[i].depth and starts[i][mail.PREFIXED] > 0 else 0 for i in range(n)]
+
+        def piece(i, j, s):
+            v = mail.NEW + starts[i][s] + e[j][s] - e[i][s] + lengths[s][min(j - i, mail.LONG)]
+            v += 9.0 * min(mark[i], j - i) if s == mail.PREFIXED else -2.5 if s == mail.SIGNATURE and j - i == 1 and lines[i].cue in ("name", "short", "company") else 0.0
+            return v + ((-8.0 if not lines[j - 1].depth else -3.0) if s == mail.QUOTED and j < n else 0.0)
+
+        best = [[-1e18] * 5 for _ in range(n + 1)]
+        for j in range(1, n + 1):
+            for s in range(5):
+                best[j][s] = max(piece(i, j, s) + ((-3.0 if s == mail.SIGNATURE else 0.0) if not i else max(best[i][q] + mail._NEXT[q][s] for q in range(5))) for i in range(j))
+        total, before = 0.0, None
+        for i, j, s in got:
+            total += piece(i, j, s) + ((-3.0 if s == mail.SIGNATURE else 0.0) if before is None else mail._NEXT[before][s])
+            before = s
+        assert abs(total - max(best[n])) < 1e-6, body
