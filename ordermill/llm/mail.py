@@ -29,13 +29,14 @@ LONG = 24
 SHORT = 14
 BUCKETS = 1 << 16
 
-# Words of mail programs and formulas, in the languages of the mail.
+# Words of mail programs and formulas, in the languages of the mail. Patterns without a flag are searched in
+# lower-case text, which is four times as fast as ignoring case.
 _HEADER = re.compile(r"^[*_ ]*(from|von|de|da|van|od|sent|gesendet|envoyé|enviado|inviato|date|datum|fecha|data|to|an|à|a|para|pour|cc|kopie|copie|subject|betreff|objet|asunto|oggetto|onderwerp)[*_ ]*:[*_]*\s*\S", re.I)
 _HEADER_KIND = {w: k for k, ws in enumerate(("from von de da van od", "sent gesendet envoyé enviado inviato date datum fecha data", "to an à a para pour", "cc kopie copie", "subject betreff objet asunto oggetto onderwerp")) for w in ws.split()}
 _ORIGINAL = re.compile(r"^[-_\s]{3,}.*(original|ursprüngliche|origine|forwarded|weitergeleitete|transféré|reenviado|inoltrato|message|nachricht|mensaje|messaggio).*[-_\s]{3,}$", re.I)
 _RULE = re.compile(r"^[_=]{10,}$")
-_WROTE = re.compile(r"(wrote|schrieb|a écrit|escribió|ha scritto|schreef|escreveu|napisał)( (am|on|le|el)\b.*)?\s*:$|(wrote|schrieb|a écrit|escribió) (on|am|le|el)\b.*:$", re.I)
-_WROTE_PART = re.compile(r"\b(wrote|schrieb|écrit|escribió|scritto|schreef|escreveu)\b", re.I)
+_WROTE = re.compile(r"(wrote|schrieb|a écrit|escribió|ha scritto|schreef|escreveu|napisał)( (am|on|le|el)\b.*)?\s*:$|(wrote|schrieb|a écrit|escribió) (on|am|le|el)\b.*:$")
+_WROTE_PART = re.compile(r"\b(wrote|schrieb|écrit|escribió|scritto|schreef|escreveu)\b")
 _DATED = re.compile(r"\d{1,4}[./-]\d{1,2}[./-]\d{1,4}|\b\d{1,2} \w{3,9} \d{4}\b")
 _ATTRIBUTION = re.compile(r"^(on|am|le|el|il|op)\b.*\d.*|^\d{4}-\d\d-\d\d.*|^\d{1,2}[./]\d{1,2}[./]\d{2,4}.*", re.I)
 _PREFIX = re.compile(r"^([>|]\s?)+")
@@ -54,9 +55,8 @@ _DEVICE = re.compile(r"^(sent|gesendet|envoyé|enviado|inviato|verzonden|von mei
 _LEGAL = re.compile(
     r"confidential|vertraulich|confidentiel|confidencial|riservat|intended (recipient|only)|richtige adressat|destinata(ire|rio)|disclaimer|registered (office|in)|company number|registergericht|handelsregister|amtsgericht|geschäftsführer|sitz der gesellschaft|geschäftsbedingungen|general terms|siège social|rcs |capital (social|de)|domicilio social|registro mercantil|conditions générales|condiciones generales"
     r"|think of the environment|before printing|ausgedruckt werden|avant d'imprimer|antes de imprimir|medio ambiente|outside (the|your) organi[sz]ation|external (e-?mail|sender|message)|\bcaution\b|achtung: |scanned (for|by)|virus|opt.?out|unsubscribe|steuernummer|ust-?id|vat (no|number|id)",
-    re.I,
 )
-_COMPANY = re.compile(r"\b(gmbh|ag|kg|ltd|llc|inc|corp|corporation|company|s\.?a\.?s?|s\.?r\.?l|s\.?p\.?a|b\.?v|n\.?v|sarl|sas|sp\. z o\.o|co|k\.?k|pvt|plc|limited|s\.?l)\.?$|\|", re.I)
+_COMPANY = re.compile(r"\b(gmbh|ag|kg|ltd|llc|inc|corp|corporation|company|s\.?a\.?s?|s\.?r\.?l|s\.?p\.?a|b\.?v|n\.?v|sarl|sas|sp\. z o\.o|co|k\.?k|pvt|plc|limited|s\.?l)\.?$|\|")
 _ENDED = re.compile(r"[.!?…]['\")]*$")
 
 
@@ -77,15 +77,16 @@ class Line:
 def _cue(t: str) -> str:
     if not t:
         return "empty"
+    low = t.lower()
     if _DELIMITER.match(t):
         return "delimiter"
     if _ORIGINAL.match(t) or _RULE.match(t):
         return "original"
-    if _LEGAL.search(t) and len(t) > 20:
+    if len(t) > 20 and _LEGAL.search(low):
         return "legal"
     if _DEVICE.match(t) and len(t) < 90:
         return "device"
-    if _WROTE.search(t) or (t.endswith(":") and _WROTE_PART.search(t) and _DATED.search(t)):
+    if t.endswith(":") and (_WROTE.search(low) or (_WROTE_PART.search(low) and _DATED.search(t))):
         return "wrote"
     if _HEADER.match(t):
         return "header"
@@ -97,10 +98,10 @@ def _cue(t: str) -> str:
         return "contact"
     if _GREETING.match(t):
         return "greeting"
-    if _ENDED.search(t) and len(t) > 15 and not _COMPANY.search(t):
+    if _ENDED.search(t) and len(t) > 15 and not _COMPANY.search(low):
         return "sentence"
     words = t.split()
-    if _COMPANY.search(t) and len(words) <= 9:
+    if len(words) <= 9 and _COMPANY.search(low):
         return "company"
     if len(words) <= 4 and all(w[0].isupper() or w in ("de", "von", "van", "del", "la") for w in words if w[0].isalpha()) and not re.search(r"[,;:!?]$", t):
         return "name"
@@ -206,7 +207,7 @@ def _starts(lines: list[Line]) -> list[tuple[float, ...]]:
                 y.cue = "headline" if y.cue == "header" else y.cue
         # an attribution may be broken into two lines
         both = f"{x.text} {after[0].text}" if after else ""
-        pair = bool(after) and x.depth == after[0].depth and not after[0].space and len(x.text) < 90 and x.cue not in ("sentence", "closing", "greeting", "headline", "wrote") and after[0].cue != "headline" and after[0].text.endswith(":") and (_WROTE_PART.search(both) is not None or "@" in both) and _DATED.search(both) is not None
+        pair = bool(after) and x.depth == after[0].depth and not after[0].space and len(x.text) < 90 and x.cue not in ("sentence", "closing", "greeting", "headline", "wrote") and after[0].cue != "headline" and after[0].text.endswith(":") and (_WROTE_PART.search(both.lower()) is not None or "@" in both) and _DATED.search(both) is not None
         wrote = i != second and (pair or x.cue == "wrote" or (_ATTRIBUTION.match(x.text) is not None and x.text.endswith(":") and ("<" in x.text or _DATED.search(x.text) is not None)))
         if pair:
             second = i + 1
@@ -250,6 +251,9 @@ _NEXT = [
 ]
 
 
+_INTO = [list(c) for c in zip(*_NEXT)]
+
+
 def decode(lines: list[Line], taught: Taught) -> list[tuple[int, int, int]]:
     """Best division into segments (from, to, state)."""
     n = len(lines)
@@ -311,7 +315,10 @@ def decode(lines: list[Line], taught: Taught) -> list[tuple[int, int, int]]:
                 if j == 0:
                     v, p = 0.0 if s in (AUTHORED, PREFIXED, QUOTED, NOTICE) else -3.0, -1
                 else:
-                    v, p = max((best[j][q] + _NEXT[q][s], q) for q in range(STATES))
+                    a, b, c, d, f = best[j]
+                    ways = (a + _INTO[s][0], b + _INTO[s][1], c + _INTO[s][2], d + _INTO[s][3], f + _INTO[s][4])
+                    v = max(ways)
+                    p = 4 - ways[::-1].index(v)  # of equals the last state
                     if p == QUOTED and s == AUTHORED and lines[j - 1].cited and not lines[j].cited:
                         v += 8
                 enter[j][s], came[j][s] = v + NEW + starts[j][s], p
