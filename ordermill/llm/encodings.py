@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.session import cut
+
 # Single-byte encodings a text may be decoded with, and those it may have been written in.
 READ_AS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "cp1253", "cp437", "cp850", "cp852", "cp866", "mac-roman", "koi8-r")
 WRITTEN_IN = ("cp1252", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "mac-roman", "cp437", "cp850", "cp852")
@@ -32,6 +34,12 @@ SEEN, RATIO = 10, 15
 #: share of those that change, turn into forms seen MORE times as often; forms no more frequent count against.
 TURNED, SHARE, MORE = 5, 0.9, 2
 
+#: Share of all counted trigrams from which on one is kept (and two times at least): at most 4,000,000 are, whatever the
+#: corpus, and what is rarer tells nothing.
+KEPT = 2.5e-7
+#: Scripts whose garbled forms right texts have by chance (a sign before a no-break blank) count in runs of so many.
+RUN = 3
+
 #: Signs whose garbled form tells even without letters around it.
 _SIGNS = "€–’“”„«»½±°§µ"
 
@@ -59,9 +67,15 @@ def _encoded(name: str) -> dict[str, int]:
     return {c: b for b, c in reversed(list(enumerate(_decoded(name))))}
 
 
+# Blocks of Hebrew, Arabic, Indic scripts, Thai and Lao.
+_IN_RUNS = ((0x5BE, 0x5F5), (0x60C, 0x6D4), (0x900, 0xEE0))
+
+
 def _repertoire() -> Iterator[str]:
-    for a, b in ((0xA0, 0x180), (0x218, 0x21C), (0x391, 0x3CA), (0x401, 0x460), (0x490, 0x492), (0x2010, 0x2027), (0x2030, 0x203B), (0x20A0, 0x20BF), (0x2100, 0x2123), (0x2190, 0x2194), (0x2200, 0x2270), (0x2500, 0x25A0), (0x3000, 0x3100), (0x4E00, 0xA000), (0xAC00, 0xD7A4), (0xFF01, 0xFF61)):
+    for a, b in ((0xA0, 0x180), (0x218, 0x21C), (0x391, 0x3CA), (0x401, 0x460), (0x490, 0x492), *_IN_RUNS, (0x2010, 0x2027), (0x2030, 0x203B), (0x20A0, 0x20BF), (0x2100, 0x2123), (0x2190, 0x2194), (0x2200, 0x2270), (0x2500, 0x25A0), (0x3000, 0x3100), (0x4E00, 0xA000), (0xAC00, 0xD7A4), (0xFF01, 0xFF61)):
         yield from map(chr, range(a, b))
+    # what one layer of garbling makes another may garble again
+    yield from sorted({c for name in READ_AS for c in _decoded(name)[128:] if c > "\x9f"})
 
 
 def _written(s: str) -> bool:
@@ -72,14 +86,15 @@ def _written(s: str) -> bool:
 def garbled_sequences() -> dict[str, tuple[str, str, int]]:
     """Garbled sequence -> (kind, right character, bits of READ_AS), for texts in UTF-8 read as a single-byte encoding.
 
-    Kind 'sure', or 'weak' for what right texts have too; that counts only beside a sure one of the same encoding.
+    Kind 'sure', 'weak' for what right texts have too (that counts only beside a sure one of the same encoding), or 'run'.
     """
+    in_runs = {chr(c) for a, b in _IN_RUNS for c in range(a, b)}
     found: dict[str, tuple[str, str, int]] = {}
     for k, wrong in enumerate(READ_AS):
         table = _decoded(wrong)
         for c in _repertoire():
             g = "".join(table[b] for b in c.encode())
-            kind, right, bits = found.get(g, ("weak" if _written(g) else "sure", c, 0))
+            kind, right, bits = found.get(g, ("run" if c in in_runs else "weak" if _written(g) else "sure", c, 0))
             found[g] = kind, right, bits | 1 << k
     return found
 
@@ -202,7 +217,7 @@ class Matcher:
             self.single[t[1]] += n
         for g, (kind, c, bits) in garbled_sequences().items():
             # letters that would stand for one the corpus does not use
-            doubtful = g.isalpha() and self.single[c] < SEEN
+            doubtful = kind == "sure" and g.isalpha() and self.single[c] < SEEN
             machine.add_word(g, ("weak" if doubtful else kind, g, (c, bits)))
         machine.make_automaton()
         self.machine = machine
@@ -217,6 +232,7 @@ class Matcher:
         weak: list[tuple[int, int, tuple[str, int]]] = []
         read_as = 0
         wide: list[int] = []
+        run: list[tuple[int, int, tuple[str, int]]] = []
         grams: dict[str, list[tuple[int, str, str, int]]] = {}
         for end, (kind, g, value) in self.machine.iter(s):
             start = end - len(g)  # positions in text: s has one blank before it
@@ -225,11 +241,14 @@ class Matcher:
                 read_as |= value[1]
             elif kind == "weak":
                 weak.append((start, start + len(g), value))
+            elif kind == "run":
+                run.append((start, start + len(g), value))
             elif kind == "wide":
                 wide.append(start)
             else:
                 for pair, right, n in value:
                     grams.setdefault(pair, []).append((start, g, right, n))
+        sure += self._runs(run)
         spans = sure + [(a, b, c) for a, b, (c, bits) in weak if bits & read_as]
         if len(wide) >= 3:
             runs = self._wide(text, wide, [(a, b) for a, b, _ in sure])
@@ -248,6 +267,19 @@ class Matcher:
                 at = b
         return "".join(out) + text[at:], bool(spans), beneath
 
+    @staticmethod
+    def _runs(hits: list[tuple[int, int, tuple[str, int]]]) -> list[tuple[int, int, str]]:
+        """Sequences of one encoding that follow each other, with one character between them at most, RUN or more."""
+        found, row, bits = [], [], 0
+        for a, b, (c, k) in hits:
+            if row and a - row[-1][1] <= 1 and a >= row[-1][1] and bits & k:
+                row.append((a, b, c))
+                bits &= k
+                continue
+            found += row if len(row) >= RUN else []
+            row, bits = [(a, b, c)], k
+        return found + (row if len(row) >= RUN else [])
+
     @staticmethod
     def _wide(text: str, hits: list[int], sure: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
         """Segments that a Western encoding can write and that decode strictly to East Asian text."""
@@ -394,11 +426,13 @@ class Matcher:
     def restore(self, text: str) -> tuple[bool, str]:
         """(garbled, text with what can be regained)."""
         garbled = LOST in text or any("\x80" <= c <= "\x9f" for c in text)
-        for _ in range(3):
+        beneath = True
+        while beneath:
+            before = len(text)
             text, changed, beneath = self.once(text)
             garbled |= changed
-            if not beneath:
-                break
+            # what lies beneath came out of longer sequences, so each layer makes the text shorter
+            beneath = beneath and len(text) < before
         return garbled, text
 
 
@@ -427,7 +461,9 @@ def repair_encoding(documents: DataFrame, key: str = "doc_id", text: str = "text
     texts are read, however long.
     """
     spark = documents.sparkSession
-    seen = {r["trigram"]: r["n"] for r in corpus_trigrams(documents, text).filter(F.col("n") >= 2).toLocalIterator()}
+    counted = cut(corpus_trigrams(documents, text))
+    total = counted.agg(F.sum("n")).collect()[0][0] or 0
+    seen = {r["trigram"]: r["n"] for r in counted.filter(F.col("n") >= max(2, KEPT * total)).toLocalIterator()}
     shared = spark.sparkContext.broadcast(seen)
     made = uuid.uuid4().hex
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ordermill.llm.tokens import VOCABULARY, count_tokens
 from ordermill.session import cut
 
-BUCKETS = 4096
+#: Bits of the order's hash that a histogram tells apart.
+BITS = 12
 #: Leaves that the driver plans for; more categories than that are a mistake in the levels.
 MOST_LEAVES = 200_000
 
@@ -65,7 +66,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, budget: int | None = N
     category of its own. A document appears at most max_repeats times, once per epoch. The mix is the same for the
     same seed, however the data are partitioned.
     """
-    sizes = cut(count_tokens(documents, "doc_id", "source", domain, language, vocabulary=vocabulary).filter("tokens > 0").join(F.broadcast(targets.select("source").distinct()), "source", "left_semi").select("doc_id", "source", F.coalesce(domain, F.lit("?")).alias("_domain"), F.coalesce(language, F.lit("?")).alias("_language"), "tokens"))
+    sizes = cut(count_tokens(documents, "doc_id", "source", domain, language, vocabulary=vocabulary).filter("tokens > 0").join(targets.select("source").distinct(), "source", "left_semi").select("doc_id", "source", F.coalesce(domain, F.lit("?")).alias("_domain"), F.coalesce(language, F.lit("?")).alias("_language"), "tokens"))
     path = ["_domain", "_language", "source"]
     wish = {r["source"]: (r["target_share"], r["max_repeats"]) for r in targets.filter("target_share > 0 and max_repeats > 0").toLocalIterator()}
     held = [tuple(r) for r in sizes.groupBy(*path).agg(F.sum("tokens")).limit(MOST_LEAVES + 1).toLocalIterator()]
@@ -83,7 +84,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, budget: int | None = N
     docs = sizes.join(F.broadcast(plan_df), path)
     whole = docs.filter("whole > 0").select("doc_id", "source", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("epoch"), "tokens")
     # the last epoch: its order is a hash of seed, epoch and document
-    last = docs.filter("rest > 0").withColumn("_at", F.xxhash64(F.lit(seed), "whole", "doc_id")).withColumn("_bucket", F.shiftrightunsigned("_at", 52))
+    last = docs.filter("rest > 0").withColumn("_at", F.xxhash64(F.lit(seed), "whole", "doc_id")).withColumn("_bucket", F.shiftrightunsigned("_at", 64 - BITS))
     filled = last.groupBy(*path, "rest", "_bucket").agg(F.sum("tokens").alias("n"))
     before = filled.withColumn("_before", F.sum("n").over(Window.partitionBy(*path).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))).select(*path, "_bucket", F.coalesce("_before", F.lit(0)).alias("_before"), (F.coalesce("_before", F.lit(0)) + F.col("n")).alias("_after"))
     placed = last.join(before, [*path, "_bucket"])

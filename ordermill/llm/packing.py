@@ -79,4 +79,5 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, vocabulary: str
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     dealt = sizes.withColumn("_at", F.xxhash64("doc_id")).withColumn("_shard", F.pmod("_at", F.lit(n)))
-    return dealt.groupBy("_shard").applyInPandas(run, f"capacity_id int, container string, doc_id {kind}, piece int, tokens long, position long, filled long, fill double")
+    # one partition for each shard on average; adaptive execution would put small ones into a single task
+    return dealt.repartition(n, "_shard").groupBy("_shard").applyInPandas(run, f"capacity_id int, container string, doc_id {kind}, piece int, tokens long, position long, filled long, fill double")

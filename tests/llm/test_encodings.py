@@ -1,5 +1,6 @@
 import random
 
+from ordermill.llm import encodings as E
 from ordermill.llm.encodings import SEEN, Matcher, count_trigrams, repair_encoding
 
 TEXTS = {
@@ -89,3 +90,19 @@ def test_frequent_garbling_is_found(spark):
         rows = list(enumerate(texts[30:])) + [(1000 + i, b) for i, b in enumerate(bad)] + [(2000 + i, bad[0]) for i in range(300)]
         got = {r["doc_id"] for r in repair_encoding(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
         assert got == {i for i, _ in rows if i >= 1000}, lang
+
+
+def test_scripts_in_runs_and_layers():
+    """Hebrew, Arabic, Hindi and Thai in UTF-8 read as a Western encoding; a text garbled five times; signs alone."""
+    m = E.Matcher({})
+    for right in ("הזמנה דחופה", "طلب عاجل جدا", "तत्काल आदेश", "คำสั่งซื้อด่วน"):
+        for wrong in ("cp1252", "latin-1"):
+            table = E._decoded(wrong)
+            garbled = "Order 7: " + "".join(table[b] for b in right.encode()) + " end"
+            assert m.restore(garbled) == (True, f"Order 7: {right} end")
+    for right in ("25 ×\xa010 cm", "Ø\xa025 mm", "plain", "הזמנה דחופה", "3 ×\xa04, Ø\xa05"):
+        assert m.restore(right) == (False, right)
+    text = "Grüße aus Köln"
+    for _ in range(5):
+        text = "".join(E._decoded("cp1252")[b] for b in text.encode())
+    assert m.restore(text) == (True, "Grüße aus Köln")
