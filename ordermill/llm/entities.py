@@ -32,13 +32,18 @@ TABLES, LOAD = 16, 24
 FLIPS = 4
 #: Least cosine of a candidate.
 CANDIDATE = 0.38
+#: Bits of a code that a group of the search holds: it has LOAD * 2 ** FINE entries of the index on average, at any size.
+FINE = 7
+#: Partitions whose vectors are summed in one group, as a fraction of all: the first of two levels.
+FAN = 64
 #: Numbers of a product that are held at once.
 PIECE = 2_000_000
 #: Values that a token keeps as neighbours for walks (the search doesn't use them).
 NEIGHBOURS = 16
 WALKS, STEPS, WINDOW, NEGATIVE, RATE = 2, 3, 4, 4, 0.03
-#: Pairs on which the confidence is calibrated.
-SAMPLE = 20_000
+#: Pairs on which the confidence is calibrated, at most; of the pairs that the exact check rejects one in REJECTED is kept
+#: for it and counts so many times.
+SAMPLE, REJECTED = 20_000, 64
 
 
 def _bucket(token: str) -> int:
@@ -91,6 +96,14 @@ def random_walks(records: DataFrame, tokens: DataFrame, seed: int = 5) -> DataFr
     return walk.select("path").unionByName(for_record.select("path"))
 
 
+def _add_rows(table: np.ndarray, rows: np.ndarray, what: np.ndarray) -> None:
+    """table[rows] += what, repeated rows summed: sorted sums are several times as fast as np.add.at."""
+    order = np.argsort(rows, kind="stable")
+    sorted_ = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    table[sorted_[first]] += np.add.reduceat(what[order], first, axis=0)
+
+
 def skip_gram(walks: DataFrame, seed: int = 5) -> np.ndarray:
     """Vectors by skip-gram with negative sampling: every partition trains on its walks from the same start, the
     results are averaged by how often each row was trained. What returns is ROWS x DIM numbers at most."""
@@ -121,26 +134,30 @@ def skip_gram(walks: DataFrame, seed: int = 5) -> np.ndarray:
                 pull = 1 - 1 / (1 + np.exp(-np.clip((vx * outer[y]).sum(1), -8, 8)))
                 push = -1 / (1 + np.exp(-np.clip(np.einsum("id,ind->in", vx, outer[n]), -8, 8)))
                 gx = pull[:, None] * outer[y] + np.einsum("in,ind->id", push, outer[n])
-                np.add.at(outer, y, RATE * pull[:, None] * vx)
-                np.add.at(outer, n, RATE * push[:, :, None] * vx[:, None, :])
-                np.add.at(inner, x, RATE * gx)
-                np.add.at(seen, x, 1)
+                _add_rows(outer, np.concatenate([y, n.ravel()]), np.concatenate([RATE * pull[:, None] * vx, (RATE * push[:, :, None] * vx[:, None, :]).reshape(-1, DIM)]))
+                _add_rows(inner, x, RATE * gx)
+                seen += np.bincount(x, minlength=ROWS)
         rows = np.flatnonzero(seen)
         yield pd.DataFrame({"row": rows.astype("int32"), "n": seen[rows], "vector": [x.tobytes() for x in inner[rows] * seen[rows, None].astype("float32")]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame({"row": pd.Series(dtype="int32"), "n": pd.Series(dtype="int64"), "vector": pd.Series(dtype="object")})
         v = np.frombuffer(b"".join(pdf["vector"]), "float32").reshape(-1, DIM)
         rows, at = np.unique(pdf["row"], return_inverse=True)
         total, n = np.zeros((len(rows), DIM), "float32"), np.zeros(len(rows), "int64")
         np.add.at(total, at, v)
         np.add.at(n, at, pdf["n"].to_numpy())
-        return pd.DataFrame({"row": rows.astype("int32"), "vector": [x.tobytes() for x in (total / np.maximum(n, 1)[:, None]).astype("float32")]})
+        return pd.DataFrame({"row": rows.astype("int32"), "n": n, "vector": [x.tobytes() for x in total]})
 
-    parts = walks.mapInPandas(train, "row int, n long, vector binary")
-    mean = parts.groupBy(F.col("row") % 64).applyInPandas(add, "row int, vector binary").toPandas()
+    fields = "row int, n long, vector binary"
+    parts = walks.mapInPandas(train, fields).withColumn("_of", F.spark_partition_id() % FAN)
+    # summed in two levels, so that a group holds a FAN-th of the partitions' vectors, then FAN sums
+    some = parts.groupBy(F.col("row") % 64, "_of").applyInPandas(lambda pdf: add(pdf.drop(columns="_of")), fields)
+    mean = some.groupBy(F.col("row") % 64).applyInPandas(add, fields).toPandas()
     vectors = np.random.default_rng(seed).normal(0, 1 / math.sqrt(DIM), (ROWS, DIM)).astype("float32")
     if len(mean):
-        vectors[mean["row"].to_numpy()] = np.frombuffer(b"".join(mean["vector"]), "float32").reshape(-1, DIM)
+        vectors[mean["row"].to_numpy()] = np.frombuffer(b"".join(mean["vector"]), "float32").reshape(-1, DIM) / np.maximum(mean["n"].to_numpy(), 1)[:, None]
     return vectors - vectors.mean(0)
 
 
@@ -161,7 +178,8 @@ def isotropic(values: DataFrame, table: np.ndarray, weight: np.ndarray) -> tuple
     """The table turned so that the values' vectors have no favoured direction, and their mean.
 
     Skip-gram vectors share a few strong directions; without this all cosines are high and hyperplanes don't divide.
-    Moments are summed over all values, within partitions first.
+    Moments are summed over all values, within partitions first. The fewer values, the more their covariance is shrunk
+    towards that of a round cloud, so that a few values are treated like many.
     """
 
     def moments(table: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -181,9 +199,10 @@ def isotropic(values: DataFrame, table: np.ndarray, weight: np.ndarray) -> tuple
         return x[0], x[1 : DIM + 1] / x[0], x[DIM + 1 :].reshape(DIM, DIM) / x[0]
 
     n, mean, outer = moments(table)
-    if n < 2 * DIM:
-        return table, np.zeros(DIM, "float32")
-    e, u = np.linalg.eigh(outer - np.outer(mean, mean))
+    spread = outer - np.outer(mean, mean)
+    own = n / (n + 2 * DIM)
+    spread = own * spread + (1 - own) * max(np.trace(spread) / DIM, 1e-6) * np.eye(DIM)
+    e, u = np.linalg.eigh(spread)
     turned = (table @ (u @ np.diag((np.maximum(e, 0) + 1e-6) ** -0.5) @ u.T)).astype("float32")
     return turned, moments(turned)[1].astype("float32")
 
@@ -198,15 +217,18 @@ def _sides(v: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return (v @ planes.reshape(tables * bits, DIM).T).reshape(len(v), tables, bits)
 
 
-def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -> DataFrame:
+def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11, check=None, fields: str = "a string, b string, cosine float") -> DataFrame:
     """a, b, cosine: values of left and right (value, buckets) that share a bucket in one of the tables and whose
     cosine is CANDIDATE at least.
 
-    Vectors travel as bytes with the first bits of their code as key; inside a group the full codes, and those with
-    one of the FLIPS least certain bits turned, meet the index; each pair comes from the first table it meets in. bits grows with the index, so buckets keep their size.
-    Left values are dealt to salted groups, so a frequent code doesn't fill one task.
+    Vectors travel as bytes with the first bits of their code as key, all but FINE; inside a group the full codes, and
+    those with one of the FLIPS least certain bits turned, meet the index; each pair comes from the first table it meets
+    in. bits grows with the index, so buckets and groups keep their size and groups grow in number. Left values are
+    dealt to salted groups, so a frequent code doesn't fill one task. check takes a batch of these rows and gives those
+    of `fields` instead: it runs where the pairs are found, which spares sending them.
     """
-    coarse = max(0, min(bits - 3, 4))
+    coarse = max(0, bits - FINE)
+    check = check or (lambda pdf: pdf)
 
     def hashed(side: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,23 +237,23 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
                 v = _vectors(pdf["buckets"], *model.value)
                 q = np.clip(np.round(v * 300), -127, 127).astype("int8")
                 v = q.astype("float32") / (np.linalg.norm(q.astype("float32"), axis=1, keepdims=True) + 1e-9)
-                first = (_sides(v, planes[:, :coarse]) > 0) @ (1 << np.arange(coarse)) if coarse else np.zeros((len(v), TABLES), int)
+                first = (_sides(v, planes[:, :coarse]) > 0) @ (1 << np.arange(coarse)) if coarse else np.zeros((len(v), TABLES), "int64")
                 salt = pdf["value"].map(lambda s: xxhash.xxh32_intdigest(s) % 2).to_numpy()
                 for t in range(TABLES):
                     for s in (0, 1) if side == "right" else (None,):
-                        yield pd.DataFrame({"key": (t * 64 + first[:, t]) * 2 + (salt if s is None else s), "value": pdf["value"], "vector": [x.tobytes() for x in q]})
+                        yield pd.DataFrame({"key": ((first[:, t] * TABLES + t) * 2 + (salt if s is None else s)).astype("int64"), "value": pdf["value"], "vector": [x.tobytes() for x in q]})
 
         return run
 
-    fields = "key long, value string, vector binary"
-    a = left.select("value", "buckets").mapInPandas(hashed("left"), fields)
-    b = right.select("value", "buckets").mapInPandas(hashed("right"), fields)
+    sent = "key long, value string, vector binary"
+    a = left.select("value", "buckets").mapInPandas(hashed("left"), sent)
+    b = right.select("value", "buckets").mapInPandas(hashed("right"), sent)
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"a": pd.Series(dtype="object"), "b": pd.Series(dtype="object"), "cosine": pd.Series(dtype="float32")})
         if not len(x) or not len(y):
-            return none
-        number = int(x["key"].iloc[0]) // 2 // 64
+            return check(none)
+        number = int(x["key"].iloc[0]) // 2 % TABLES
         planes = _planes(bits, seed)[: number + 1]
         power = 1 << np.arange(bits)
 
@@ -272,11 +294,10 @@ def block(left: DataFrame, right: DataFrame, model, bits: int, seed: int = 11) -
                     before = (asked[ii, :-1] == codes[jj, :-1, None]).any((1, 2))
                     found.append((part[ii[~before]], names[jj[~before]], cos[i, j][~before]))
         if not found:
-            return none
-        return pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found]), "cosine": np.concatenate([f[2] for f in found])})
+            return check(none)
+        return check(pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found]), "cosine": np.concatenate([f[2] for f in found])}))
 
-    met = a.groupBy("key").cogroup(b.groupBy("key")).applyInPandas(meet, "a string, b string, cosine float")
-    return met
+    return a.groupBy("key").cogroup(b.groupBy("key")).applyInPandas(meet, fields)
 
 
 def shared_grams(left: DataFrame, owners: DataFrame, common: dict[str, float]) -> DataFrame:
@@ -365,37 +386,39 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     table, mean = isotropic(right, table, weight)
     model = spark.sparkContext.broadcast((table, weight, mean))
     typed = rec.select(F.inline(F.array(F.struct("name"), F.struct(F.col("ship_name").alias("name"))))).filter("name is not null").distinct()
-    left = names.join(typed.withColumnRenamed("name", "value"), "value", "left_semi")
-    bits = max(4, math.ceil(math.log2(max(n, 2) / LOAD)))
-    candidates = block(left, right, model, bits)
+    left = cut(names.join(typed.withColumnRenamed("name", "value"), "value", "left_semi"))
+    # the index holds the names of customers
+    owners = ven.filter("name is not null").select("customer_number", F.col("name").alias("b")).distinct()
+    index = cut(names.join(owners.select(F.col("b").alias("value")).distinct(), "value", "left_semi"))
+    bits = max(4, math.ceil(math.log2(max(index.count(), 2) / LOAD)))
 
     # the exact check of names: as for spellings, with words that many customers share counting little
-    owners = ven.filter("name is not null").select("customer_number", F.col("name").alias("b")).distinct()
     shared_words = _common_words(owners)
     shared = spark.sparkContext.broadcast(shared_words)
-    by_name = candidates.join(owners.select("b").distinct(), "b", "left_semi")
-    by_grams = with_cosine(shared_grams(left, owners, shared_words[0]), left, right, model)
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Pairs that the check accepts, and one in REJECTED of the others with a score of 0."""
         weight, rare = shared.value
-        for pdf in batches:
-            s, loose = [], []
-            for a, b in zip(pdf["a"], pdf["b"]):
-                (ta, fa), (tb, fb) = parse_name(a), parse_name(b)
-                v = agree(ta, tb, weight, rare)
-                loose.append(v < NAME)
-                if v < NAME and len(ta) > 1:
-                    # a ship-to name may go on with words for the place: they count only where they fit
-                    part = tuple(t for t in ta if any(token_similarity(t, x) >= TOKEN for x in tb))
-                    v = agree(part, tb, weight, rare) if part and part[0] == ta[0] else 0.0
-                s.append(v + (0.04 if fa == fb else -0.06) if v and fa and fb else v)
-            out = pdf.assign(score=s, loose=loose)
-            yield out[out["score"] >= NAME]
+        s, loose = [], []
+        for a, b in zip(pdf["a"], pdf["b"]):
+            (ta, fa), (tb, fb) = parse_name(a), parse_name(b)
+            v = agree(ta, tb, weight, rare)
+            loose.append(v < NAME)
+            if v < NAME and len(ta) > 1:
+                # a ship-to name may go on with words for the place: they count only where they fit
+                part = tuple(t for t in ta if any(token_similarity(t, x) >= TOKEN for x in tb))
+                v = agree(part, tb, weight, rare) if part and part[0] == ta[0] else 0.0
+            v = v + (0.04 if fa == fb else -0.06) if v and fa and fb else v
+            s.append(v if v >= NAME else 0.0 if xxhash.xxh32_intdigest(f"{a}\0{b}") % REJECTED == 0 else None)
+        out = pdf.assign(score=pd.Series(s, index=pdf.index, dtype="float64"), loose=pd.Series(loose, index=pdf.index, dtype="bool"))
+        return out[out["score"].notna()]
 
     checked = "a string, b string, cosine float, score double, loose boolean"
-    hashed = cut(by_name.mapInPandas(verify, checked))
-    more = by_grams.join(hashed.select("a", "b"), ["a", "b"], "left_anti").mapInPandas(verify, checked)
-    verified = cut(hashed.unionByName(more))
+    hashed = cut(block(left, index, model, bits, check=verify, fields=checked))
+    by_grams = with_cosine(shared_grams(left, owners, shared_words[0]), left, index, model)
+    more = by_grams.join(hashed.select("a", "b"), ["a", "b"], "left_anti").mapInPandas(lambda batches: map(verify, batches), checked)
+    judged_pairs = cut(hashed.unionByName(more))
+    verified = judged_pairs.filter(F.col("score") >= NAME)
     lists = verified.groupBy("a", "loose").agg(F.collect_list(F.struct("score", "b", "cosine")).alias("c"))
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -467,7 +490,7 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     # a name that fits several organisations counts where only one of them has the place
     one = chosen.filter("unsure").groupBy("record_id").agg(F.count_distinct("ship_to").alias("n")).filter("n = 1").select("record_id")
     kept = chosen.filter("not unsure").unionByName(chosen.filter("unsure").join(one, "record_id", "left_semi"))
-    slope, level = _calibrate(verified.filter("not loose"))
+    slope, level = _calibrate(judged_pairs)
     score = (F.lit(1.0) / (1.0 + F.exp(-(F.col("cosine") * slope + level)))) * F.col("strength")
     return kept.groupBy("record_id", "vendor_id").agg(F.max(score).alias("confidence"))
 
@@ -529,15 +552,22 @@ def _master_towns(ven: DataFrame) -> DataFrame:
     return towns.filter("town is not null").groupBy("ship_to").agg(F.mode("town", True).alias("town"))
 
 
-def _calibrate(verified: DataFrame) -> tuple[float, float]:
-    """Slope and level of a logistic curve from cosine to the share of pairs that the exact check accepts firmly.
+def _calibrate(judged: DataFrame) -> tuple[float, float]:
+    """Slope and level of a logistic curve from cosine to the share of pairs that the exact check accepts.
 
-    Fitted on a sample of SAMPLE pairs at most.
+    Fitted on accepted and rejected pairs, SAMPLE of them at most: those of the lowest hashes, the same however the
+    pairs are partitioned. A pair found twice counts once.
     """
-    sample = verified.select("cosine", (F.col("score") >= 0.9).alias("y")).limit(SAMPLE).toPandas()
-    x, y = sample["cosine"].to_numpy(float), sample["y"].to_numpy(float)
-    w = np.array([4.0, -2.0])
-    for _ in range(200 if len(x) else 0):
-        p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
-        w += 0.5 * np.array([((y - p) * x).mean(), (y - p).mean()])
-    return float(w[0]), float(w[1])
+    one = judged.groupBy("a", "b").agg(F.max("cosine").alias("cosine"), F.max("score").alias("score"))
+    sample = one.orderBy(F.xxhash64("a", "b"), "a", "b").limit(SAMPLE).select("cosine", "score").toPandas()
+    x, y = sample["cosine"].to_numpy(float), (sample["score"].to_numpy(float) >= NAME).astype(float)
+    n = np.where(y > 0, 1.0, REJECTED)
+    w = np.array([8.0, -4.0])
+    design = np.stack([x, np.ones_like(x)], 1)
+    for _ in range(50 if len(x) else 0):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        # Newton steps with a slight pull to the start, so that separable pairs have a finite curve
+        gradient = design.T @ (n * (y - p)) - 1e-2 * (w - [8.0, -4.0])
+        hessian = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
+        w = w + np.clip(np.linalg.solve(hessian, gradient), -4, 4)
+    return float(max(w[0], 0.0)), float(w[1])

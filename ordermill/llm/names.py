@@ -137,11 +137,18 @@ def _bigrams(t: str) -> frozenset[str]:
     return frozenset(t[i : i + 2] for i in range(len(t) - 1))
 
 
-@lru_cache(150_000)
 def token_similarity(a: str, b: str) -> float:
     """1 for equal; less for typing errors, abbreviations, initials and nicknames; else 0."""
     if a == b:
         return 1.0
+    # with another first letter only edits and nicknames make them alike, and edits so few leave a bigram
+    if a[0] != b[0] and (abs(len(a) - len(b)) > 3 or _bigrams(a).isdisjoint(_bigrams(b))) and _NICKS.get(a) != b and _NICKS.get(b) != a:
+        return 0.0
+    return _unlike(a, b)
+
+
+@lru_cache(150_000)
+def _unlike(a: str, b: str) -> float:
     if _NICKS.get(a) == b or _NICKS.get(b) == a:
         return 0.97
     short, long_ = (a, b) if len(a) < len(b) else (b, a)
