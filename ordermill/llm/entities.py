@@ -351,8 +351,13 @@ def _near_town(x: str, y: str) -> bool:
     return n >= 6 and 2 * n >= max(len(x), len(y)) and (x.startswith(y) or y.startswith(x))
 
 
+#: How a row's customer was found: by vectors of the name or of the ship-to name, by a number that a short name stands
+#: for, or by what the sender's other records agree on. The last two have the confidence of the least cosine.
+ROUTES = ("name", "ship_to_name", "number", "sender")
+
+
 def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) -> DataFrame:
-    """record_id, vendor_id, confidence: the vendors rows of the record's organisation at the place the record names.
+    """record_id, vendor_id, confidence, route: the vendors rows of the record's organisation at the place the record names.
 
     The organisation is read from customer_id_or_name (known short names of alias stand for theirs), else from the ship-to name, else from what the sender's other
     records agree on. A record that names no place means the customer's only one. Error records, unknown customers
@@ -443,15 +448,17 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     # customers of each record: by its name, else by the ship-to name, else by the sender's habit
     strict = orgs.filter("not loose").drop("loose")
     in_ship = strict.unionByName(orgs.filter("loose").drop("loose").join(strict.select("a").distinct(), "a", "left_anti"))
-    named = rec.join(strict.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure")
+    named = rec.join(strict.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure", F.lit(0).alias("route"))
     no_name = rec.join(named.select("record_id").distinct(), "record_id", "left_anti").filter(_says_nothing("name"))
-    shipped = no_name.join(in_ship.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure")
-    numbered = rec.filter("number is not null").select("record_id", F.col("number").alias("customer_number"), F.lit(1.0).alias("cosine"), F.lit(False).alias("unsure"))
+    shipped = no_name.join(in_ship.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure", F.lit(1).alias("route"))
+    numbered = rec.filter("number is not null").select("record_id", F.col("number").alias("customer_number"), F.lit(CANDIDATE).alias("cosine"), F.lit(False).alias("unsure"), F.lit(2).alias("route"))
+    # a number whose names were found too comes from these
+    numbered = numbered.join(named.select("record_id", "customer_number"), ["record_id", "customer_number"], "left_anti")
     known = named.unionByName(shipped).unionByName(numbered)
     still = no_name.join(shipped.select("record_id").distinct(), "record_id", "left_anti")
     sure = known.filter("not unsure").join(rec.select("record_id", "sender_email"), "record_id").groupBy("record_id", "sender_email").agg(F.array_sort(F.collect_set("customer_number")).alias("cs"))
     habit = sure.groupBy("sender_email", "cs").agg(F.count("*").alias("n")).groupBy("sender_email").agg(F.max_by("cs", "n").alias("cs"), F.max("n").alias("n"), F.sum("n").alias("all")).filter("n >= 3 and n >= 0.95 * all")
-    by_sender = still.join(habit.select("sender_email", "cs"), "sender_email").select("record_id", F.explode("cs").alias("customer_number"), F.lit(CANDIDATE).alias("cosine"), F.lit(False).alias("unsure"))
+    by_sender = still.join(habit.select("sender_email", "cs"), "sender_email").select("record_id", F.explode("cs").alias("customer_number"), F.lit(CANDIDATE).alias("cosine"), F.lit(False).alias("unsure"), F.lit(3).alias("route"))
     customers = cut(known.unionByName(by_sender))
 
     # places: towns a record names against the towns of the customer's rows
@@ -469,7 +476,7 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
         weight, rare = shared.value
         for pdf in batches:
             out = []
-            for r, cos, unsure, towns, named, any_, ship, rows in zip(pdf["record_id"], pdf["cosine"], pdf["unsure"], pdf["towns"], pdf["named"], pdf["any"], pdf["ship_name"], pdf["rows"]):
+            for r, cos, unsure, route, towns, named, any_, ship, rows in zip(pdf["record_id"], pdf["cosine"], pdf["unsure"], pdf["route"], pdf["towns"], pdf["named"], pdf["any"], pdf["ship_name"], pdf["rows"]):
                 # a row without a town may name it in the ship-to name
                 hit = [x for x in rows if (any(_near_town(t, x["town"]) for t in towns) if x["town"] else bool(x["v_ship"]) and any(len(t) >= 6 and t in town_form(x["v_ship"]) for t in towns))]
                 strength = 1.0
@@ -481,18 +488,19 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
                         hit = []
                 if not hit and named is not True and len({x["ship_to"] for x in rows}) == 1:
                     hit, strength = list(rows), (0.7 if not any_ else 0.6)
-                out += [(r, x["vendor_id"], cos, strength, unsure, x["ship_to"]) for x in hit]
-            yield pd.DataFrame(out, columns=["record_id", "vendor_id", "cosine", "strength", "unsure", "ship_to"])
+                out += [(r, x["vendor_id"], cos, strength, unsure, route, x["ship_to"]) for x in hit]
+            yield pd.DataFrame(out, columns=["record_id", "vendor_id", "cosine", "strength", "unsure", "route", "ship_to"])
 
     kind = {c: vendors.schema[c].dataType.simpleString() for c in ("vendor_id", "ship_to")} | {"record_id": headers.schema["record_id"].dataType.simpleString()}
-    chosen = judged.select("record_id", "cosine", "unsure", "towns", "named", "any", "ship_name", "rows").mapInPandas(choose, f"record_id {kind['record_id']}, vendor_id {kind['vendor_id']}, cosine double, strength double, unsure boolean, ship_to {kind['ship_to']}")
+    chosen = judged.select("record_id", "cosine", "unsure", "route", "towns", "named", "any", "ship_name", "rows").mapInPandas(choose, f"record_id {kind['record_id']}, vendor_id {kind['vendor_id']}, cosine double, strength double, unsure boolean, route int, ship_to {kind['ship_to']}")
     chosen = cut(chosen)
     # a name that fits several organisations counts where only one of them has the place
     one = chosen.filter("unsure").groupBy("record_id").agg(F.count_distinct("ship_to").alias("n")).filter("n = 1").select("record_id")
     kept = chosen.filter("not unsure").unionByName(chosen.filter("unsure").join(one, "record_id", "left_semi"))
     slope, level = _calibrate(judged_pairs)
     score = (F.lit(1.0) / (1.0 + F.exp(-(F.col("cosine") * slope + level)))) * F.col("strength")
-    return kept.groupBy("record_id", "vendor_id").agg(F.max(score).alias("confidence"))
+    best = kept.groupBy("record_id", "vendor_id").agg(F.max(score).alias("confidence"), F.min("route").alias("_route"))
+    return best.select("record_id", "vendor_id", "confidence", F.get(F.array(*[F.lit(r) for r in ROUTES]), F.col("_route")).alias("route"))
 
 
 def _says_nothing(c: str):
@@ -562,12 +570,22 @@ def _calibrate(judged: DataFrame) -> tuple[float, float]:
     sample = one.orderBy(F.xxhash64("a", "b"), "a", "b").limit(SAMPLE).select("cosine", "score").toPandas()
     x, y = sample["cosine"].to_numpy(float), (sample["score"].to_numpy(float) >= NAME).astype(float)
     n = np.where(y > 0, 1.0, REJECTED)
-    w = np.array([8.0, -4.0])
-    design = np.stack([x, np.ones_like(x)], 1)
-    for _ in range(50 if len(x) else 0):
+    start = np.array([8.0, -4.0])
+    w, design = start.copy(), np.stack([x, np.ones_like(x)], 1)
+
+    def loss(w: np.ndarray) -> float:
+        z = design @ w
+        # a slight pull to the start, so that separable pairs have a finite curve
+        return float((n * (np.logaddexp(0, z) - y * z)).sum() + 5e-3 * ((w - start) ** 2).sum())
+
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        # Newton steps with a slight pull to the start, so that separable pairs have a finite curve
-        gradient = design.T @ (n * (y - p)) - 1e-2 * (w - [8.0, -4.0])
-        hessian = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
-        w = w + np.clip(np.linalg.solve(hessian, gradient), -4, 4)
+        gradient = design.T @ (n * (p - y)) + 1e-2 * (w - start)
+        step = np.linalg.solve((design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2), gradient)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        if size <= 1e-6 or np.abs(size * step).max() < 1e-6:
+            break
+        w = w - size * step
     return float(max(w[0], 0.0)), float(w[1])

@@ -61,3 +61,17 @@ def test_spellings_are_found_at_the_code_length_of_a_large_index(spark, monkeypa
     for r in HEADERS:
         assert {x["vendor_id"] for x in got if x["record_id"] == r[0]} == r[-1], r
     assert all(0 < x["confidence"] <= 1 for x in got)
+
+
+def test_confidence_is_the_share_of_accepted_pairs(spark):
+    """The curve against the share of pairs that were accepted, in bands of the cosine."""
+    rng = np.random.default_rng(4)
+    cos = rng.uniform(0.38, 1.0, 6000)
+    accepted = rng.uniform(size=6000) < 1 / (1 + np.exp(-(20 * cos - 12)))
+    # of the rejected pairs one in REJECTED is kept
+    kept = [(f"a{i}", "b", float(c), 0.9 if y else 0.0) for i, (c, y) in enumerate(zip(cos, accepted)) if y or i % E.REJECTED == 0]
+    slope, level = E._calibrate(spark.createDataFrame(kept, "a string, b string, cosine double, score double"))
+    for lo, hi in ((0.4, 0.5), (0.55, 0.65), (0.7, 0.8), (0.9, 1.0)):
+        band = (cos >= lo) & (cos < hi)
+        assert abs((1 / (1 + np.exp(-(slope * cos[band] + level)))).mean() - accepted[band].mean()) < 0.08, (lo, slope, level)
+    assert E._calibrate(spark.createDataFrame([], "a string, b string, cosine double, score double"))[0] > 0
