@@ -4,8 +4,9 @@ Attribute values (typed names, ship-to names, cities, countries) and their token
 graph with the records that hold them. Random walks over it give token sequences, skip-gram training turns those into
 token vectors, and a value's vector is the weighted sum of its tokens'. Values are blocked by hyperplane hashing in
 several tables, candidates are reranked by the exact cosine, an exact check of names and places decides, and the
-cosine of the whole records, calibrated on decided pairs, is the confidence. Hashing loses more pairs the larger the
-index is; names that share enough rare trigrams are candidates besides, at any size.
+cosine of the names, calibrated on accepted and rejected pairs, is the confidence. Hashing loses more pairs the larger
+the index is; for values that it leaves without a firm partner, names that share enough rare trigrams are candidates
+besides, at any size.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ CANDIDATE = 0.38
 FINE = 7
 #: Partitions whose vectors are summed in one group, as a fraction of all: the first of two levels.
 FAN = 64
+#: A value with a pair of this score has its organisation; the others are looked up by trigrams besides.
+FIRM = 0.9
 #: Numbers of a product that are held at once.
 PIECE = 2_000_000
 #: Values that a token keeps as neighbours for walks (the search doesn't use them).
@@ -83,7 +86,7 @@ def random_walks(records: DataFrame, tokens: DataFrame, seed: int = 5) -> DataFr
     value = tokens.select(F.xxhash64("field", "value").alias("v"), "buckets")
     edges = value.select("v", F.explode("buckets").alias("b"))
     # a sample of each token's values: the smallest hashes, kept within partitions first
-    near = edges.withColumn("h", F.xxhash64(F.lit(seed), "v", "b")).groupBy("b", F.pmod("h", F.lit(NEIGHBOURS)).alias("slot")).agg(F.min_by("v", "h").alias("v")).groupBy("b").agg(F.array_sort(F.collect_list("v")).alias("vs"))
+    near = cut(edges.withColumn("h", F.xxhash64(F.lit(seed), "v", "b")).groupBy("b", F.pmod("h", F.lit(NEIGHBOURS)).alias("slot")).agg(F.min_by("v", "h").alias("v")).groupBy("b").agg(F.array_sort(F.collect_list("v")).alias("vs")))
     start = value.withColumn("walk", F.explode(F.array(*[F.lit(i) for i in range(WALKS)]))).select(F.xxhash64("v", "walk").alias("walk"), "buckets")
     walk = start.select("walk", pick(F.col("buckets"), "a").alias("b"), F.array(pick(F.col("buckets"), "x"), pick(F.col("buckets"), "a")).alias("path"))
     for step in range(STEPS):
@@ -308,8 +311,9 @@ def shared_grams(left: DataFrame, owners: DataFrame, common: dict[str, float]) -
     words = left.sparkSession.createDataFrame([(t,) for t in common], "token string")
     typed = cut(with_grams(parsed_names(left.select(F.col("value").alias("name"))), words))
     known = cut(with_grams(parsed_names(owners.select(F.col("b").alias("name"))), words))
-    there = gram_candidates(typed, known).select(F.col("name").alias("a"), F.col("m").alias("b"))
-    back = gram_candidates(known, typed).select(F.col("m").alias("a"), F.col("name").alias("b"))
+    # each direction is written, so that no plan holds both
+    there = cut(gram_candidates(typed, known).select(F.col("name").alias("a"), F.col("m").alias("b")))
+    back = cut(gram_candidates(known, typed).select(F.col("m").alias("a"), F.col("name").alias("b")))
     return there.unionByName(back).distinct()
 
 
@@ -420,7 +424,9 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
 
     checked = "a string, b string, cosine float, score double, loose boolean"
     hashed = cut(block(left, index, model, bits, check=verify, fields=checked))
-    by_grams = with_cosine(shared_grams(left, owners, shared_words[0]), left, index, model)
+    # values without a firm partner are looked up by rare trigrams too, so that no length of codes loses them
+    open_ = cut(left.join(hashed.filter(F.col("score") >= FIRM).select(F.col("a").alias("value")).distinct(), "value", "left_anti"))
+    by_grams = cut(with_cosine(shared_grams(open_, owners, shared_words[0]), open_, index, model))
     more = by_grams.join(hashed.select("a", "b"), ["a", "b"], "left_anti").mapInPandas(lambda batches: map(verify, batches), checked)
     judged_pairs = cut(hashed.unionByName(more))
     verified = judged_pairs.filter(F.col("score") >= NAME)
