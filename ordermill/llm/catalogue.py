@@ -54,7 +54,7 @@ def fold(c: Column) -> Column:
 
 def _codes(text: Column, field: str) -> Column:
     """kind, q: strings in a text that may be a code. 'w' is the whole text, as it is and without marks around it; 'c'
-    what stands in brackets or behind a mark, first and last words: in descriptions only those with a digit."""
+    what stands in brackets or behind a mark, first and last words. In descriptions only strings with a digit count."""
     parts = F.array(
         F.regexp_extract(text, r"\(([^)]+)\)", 1),
         F.regexp_extract(text, r";\s*(.+)$", 1),
@@ -67,6 +67,7 @@ def _codes(text: Column, field: str) -> Column:
     bare = lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, _NOISE_BEFORE, ""), _NOISE_AFTER, ""), _NOISE_BEFORE, "")
     more = lambda ps: F.array_union(ps, F.transform(ps, lambda p: F.regexp_replace(p, "^00(?=[A-Z0-9]{8})", "")))
     whole = more(F.array(_plain(text), _plain(bare(text))))
+    whole = F.filter(whole, lambda p: p.rlike("[0-9]")) if field == "description" else whole
     inside = F.filter(more(F.transform(F.filter(parts, lambda p: p != ""), lambda p: _plain(bare(p)))), lambda p: p.rlike("[0-9]") if field == "description" else F.length(p) >= 3)
     told = lambda kind, ps: F.transform(F.array_distinct(F.filter(ps, lambda p: p != "")), lambda p: F.struct(F.lit(kind).alias("kind"), fold(p).alias("q")))
     return F.array_union(told("w", whole), told("c", inside))
@@ -141,13 +142,17 @@ def _name_fits(name: Column, other: Column) -> Column:
     return (F.levenshtein(name, other, MOST) >= 0) | (F.length(name).between(4, 6) & other.startswith(name))
 
 
+#: Names of a pair of texts: two hashes of it.
+PAIR = ("_i", "_j")
+
+
 def _best(candidates: DataFrame) -> DataFrame:
     """Of each text pair the entry of lowest (rank, distance, disagreement); ties within that go to none but exact ones."""
     order = F.struct("rank", "distance", "disagrees")
-    best = candidates.groupBy("code_text", "desc_text").agg(F.min(F.struct(order.alias("o"), F.col("entry").alias("entry"))).alias("b"), F.min(F.when(F.col("rank") == TOLD, F.struct(order.alias("o"), F.col("entry")))).alias("lo"), F.max(F.when(F.col("rank") == TOLD, F.col("entry"))).alias("hi"))
+    best = candidates.groupBy(*PAIR).agg(F.min(F.struct(order.alias("o"), F.col("entry").alias("entry"))).alias("b"), F.min(F.when(F.col("rank") == TOLD, F.struct(order.alias("o"), F.col("entry")))).alias("lo"), F.max(F.when(F.col("rank") == TOLD, F.col("entry"))).alias("hi"))
     # a description that fits several entries says nothing
     open_ = (F.col("b.o.rank") == TOLD) & (F.col("lo.entry") != F.col("hi"))
-    return best.filter(~F.coalesce(open_, F.lit(False))).select("code_text", "desc_text", F.col("b.entry").alias("entry"), F.col("b.o.distance").alias("distance"))
+    return best.filter(~F.coalesce(open_, F.lit(False))).select(*PAIR, F.col("b.entry").alias("entry"), F.col("b.o.distance").alias("distance"))
 
 
 def map_to_catalogue(lines: DataFrame, materials: DataFrame) -> DataFrame:
@@ -158,7 +163,8 @@ def map_to_catalogue(lines: DataFrame, materials: DataFrame) -> DataFrame:
     """
     entries = catalogue_entries(materials)
     texts = lines.select("line_id", F.coalesce(_text(F.col("material_code")), F.lit("")).alias("code_text"), F.coalesce(_text(F.col("description")), F.lit("")).alias("desc_text")).filter("code_text != '' or desc_text != ''")
-    pairs = texts.select("code_text", "desc_text").distinct()
+    texts = texts.withColumns({"_i": F.xxhash64("code_text", "desc_text"), "_j": F.xxhash64(F.lit(1), "desc_text", "code_text")})
+    pairs = texts.select(*PAIR, "code_text", "desc_text").distinct()
     # a code field may hold the description and the other way round
     swapped = F.col("code_text").rlike(r"[A-Z]{4,}") & F.col("code_text").rlike(_GRADE)
     told = F.when(swapped, F.concat_ws(" ", "code_text", "desc_text")).otherwise(F.col("desc_text"))
@@ -167,28 +173,30 @@ def map_to_catalogue(lines: DataFrame, materials: DataFrame) -> DataFrame:
     string = lambda kind, q: F.struct(F.lit(kind).alias("kind"), q.alias("q"))
     described = F.filter(F.array(string("i", F.col("number")), string("g", F.coalesce("grade", F.lit("")))), lambda x: x["q"] != "")
     # two joins read the strings, so they are made once
-    pairs = cut(pairs.select("code_text", "desc_text", "grade", "name", "colour", F.array_union("codes", described).alias("strings")))
+    pairs = cut(pairs.select(*PAIR, "grade", "name", "colour", F.array_union("codes", described).alias("strings")))
 
     reference = lambda kind, r: F.struct(F.lit(kind).alias("kind"), r.alias("r"))
     known = F.array_union(F.array(reference("w", F.col("code")), reference("c", F.col("code")), reference("g", F.coalesce("r_grade", F.lit("")))), F.transform("internals", lambda i: reference("i", i)))
     answers = entries.select("entry", "r_grade", "r_name", "r_colour", F.inline(F.filter(known, lambda x: x["r"] != "")))
     same_colour = F.col("colour") == F.col("r_colour")
     agrees = F.coalesce((F.col("grade") == F.col("r_grade")), F.lit(False)).cast("int") + F.coalesce(same_colour, F.lit(False)).cast("int")
-    columns = ["code_text", "desc_text", "entry", "rank", "distance", (2 - agrees).alias("disagrees")]
+    columns = [*PAIR, "entry", "rank", "distance", (2 - agrees).alias("disagrees")]
     rank = F.when(F.col("kind") == "w", 0).when(F.col("kind") == "c", 1).when(F.col("kind") == "i", 2).otherwise(TOLD).alias("rank")
 
-    asked = pairs.select("code_text", "desc_text", "grade", "name", "colour", F.inline("strings"))
+    # strings travel with the pair's name only; what a description tells is fetched for pairs that met an entry
+    told_of = pairs.select(*PAIR, "grade", "name", "colour")
+    asked = pairs.select(*PAIR, F.inline("strings"))
     # with k = 0 the one segment is the whole string and equality is the verification
-    equal = asked.withColumnRenamed("q", "r").join(answers, ["kind", "r"]).withColumns({"rank": rank, "distance": F.lit(0)})
+    equal = asked.withColumnRenamed("q", "r").join(answers, ["kind", "r"]).drop("r").join(told_of, list(PAIR)).withColumns({"rank": rank, "distance": F.lit(0)})
     fits = _name_fits(F.col("name"), F.col("r_name")) & (same_colour | F.col("colour").isNull())
-    first = _best(equal.filter((F.col("kind") != "g") | fits).select(*columns))
+    first = cut(_best(equal.filter((F.col("kind") != "g") | fits).select(*columns)))
 
     # of the lines still open: codes, and grade + name as one string
-    rest = pairs.join(first, ["code_text", "desc_text"], "left_anti")
+    rest = pairs.join(first, list(PAIR), "left_anti")
     told_as = lambda g, n: fold(F.concat(g, n))
     both = F.filter(F.array(string("d", told_as(F.col("grade"), F.col("name")))), lambda x: F.length(x["q"]) >= 10)
     codes = F.filter("strings", lambda x: (x["kind"] == "w") | ((x["kind"] == "c") & _is_code(x["q"])))
-    rest = cut(rest.select("code_text", "desc_text", "grade", "name", "colour", F.inline(F.array_union(codes, both))))
+    rest = cut(rest.select(*PAIR, "grade", "name", "colour", F.inline(F.array_union(codes, both))))
     whole = F.array(reference("w", F.col("code")), reference("c", F.col("code")), reference("d", told_as(F.col("r_grade"), F.col("r_name"))))
     spelled = cut(entries.select("entry", "r_grade", "r_name", "r_colour", F.inline(F.filter(whole, lambda x: F.length(x["r"]) >= min(EDITS)))))
     longest = None
@@ -200,6 +208,7 @@ def map_to_catalogue(lines: DataFrame, materials: DataFrame) -> DataFrame:
     second = _best(near.select(*columns))
 
     found = first.unionByName(second)
-    matched = texts.join(found, ["code_text", "desc_text"])
-    unmatched = texts.join(found, ["code_text", "desc_text"], "left_anti")
+    lines_ = texts.select("line_id", *PAIR)
+    matched = lines_.join(found, list(PAIR))
+    unmatched = lines_.join(found, list(PAIR), "left_anti")
     return matched.select("line_id", F.col("entry").alias("customer_material_number"), F.col("distance").cast("int").alias("distance")).unionByName(unmatched.select("line_id", F.lit(UNMATCHED).alias("customer_material_number"), F.lit(None).cast("int").alias("distance")))
