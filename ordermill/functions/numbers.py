@@ -42,3 +42,8 @@ def grouped_number(c: Column) -> Column:
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """Percentage, half to even as people's tools have it; 0 of nothing is 0."""
     return F.when(whole > 0, F.bround(part * 100.0 / whole, digits)).otherwise(0.0)
+
+
+def truthy(c: Column) -> Column:
+    """A number that is there and not zero."""
+    return F.coalesce(c != 0, F.lit(False))

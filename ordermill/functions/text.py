@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import html
 import json
 import re
 import unicodedata
@@ -131,6 +132,23 @@ def without_tags(c: Column) -> Column:
     return squeezed(F.regexp_replace(F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", " "), r"\s+", " "))
 
 
+# Traditional characters of company names and their simplified forms.
+TRADITIONAL, SIMPLIFIED = "廠業電機東華國際貿實發銀鋼鐵鋁膠纖維長陽陰車馬門廣開關興豐龍鳳張陳劉黃", "厂业电机东华国际贸实发银钢铁铝胶纤维长阳阴车马门广开关兴丰龙凤张陈刘黄"
+# Legal forms at the end of a name, and words before it.
+LEGAL_FORMS = ("gmbh", "ag", "kg", "co", "ltd", "limited", "plc", "llc", "inc", "incorporated", "corp", "corporation", "pvt", "pte", "sa", "sas", "sarl", "srl", "spa", "sl", "bv", "nv", "lda", "oy", "ab", "as", "kk", "有限公司", "股份", "株式会社")
+BEFORE_NAMES = ("sc", "fa", "firma", "m/s", "the", "ets", "soc")
+
+
+def simplified(c: Column) -> Column:
+    return F.translate(c, TRADITIONAL, SIMPLIFIED)
+
+
+def event_file(c: Column) -> Column:
+    """The file that an event is about: the last part of data.url, else its filename, else the text itself."""
+    url = F.element_at(F.split(F.get_json_object(c, "$.data.url"), "/"), -1)
+    return F.coalesce(url, F.get_json_object(c, "$.filename"), F.when(~F.trim(c).startswith("{"), F.trim(c)))
+
+
 def keyword_hits(c: Column, words: list[str]) -> Column:
     """How many of the words a text contains, in any case."""
     return reduce(lambda x, y: x + y, [F.coalesce(F.lower(c).contains(w.lower()).cast("int"), F.lit(0)) for w in words])
@@ -150,6 +168,72 @@ def accentless(c: pd.Series) -> pd.Series:
     return c.map(one)
 
 
+@pandas_udf(StringType())
+def plain_name(c: pd.Series) -> pd.Series:
+    """A company name for comparison: accents, case, doubling, words before it and legal forms behind it removed.
+
+    A name of legal forms only keeps the first; NULL stays NULL.
+    """
+    forms, before = set(LEGAL_FORMS), set(BEFORE_NAMES)
+
+    def one(t: str | None) -> str | None:
+        if t is None:
+            return None
+        t = t.translate(str.maketrans(TRADITIONAL, SIMPLIFIED))
+        t = "".join(x for x in unicodedata.normalize("NFD", t) if unicodedata.category(x) != "Mn").lower()
+        words = [w for w in (x.strip(".,;:()") for x in re.sub(r"(?<=\b\w)\.(?=\w\b)", "", t).split()) if w]
+        half = len(words) // 2
+        if half and len(words) % 2 == 0 and words[:half] == words[half:]:
+            words = words[:half]
+        while len(words) > 1 and words[0] in before:
+            words = words[1:]
+        while len(words) > 1 and words[-1] in forms | {"&", "und", "and"}:
+            words = words[:-1]
+        last = words[-1] if words else ""
+        while (ends := [f for f in forms if f > "⺀" and last.endswith(f) and len(last) > len(f)]):
+            last = last[: -len(max(ends, key=len))]
+        return " ".join([*words[:-1], last])
+
+    return c.map(one)
+
+
+@pandas_udf(StringType())
+def unescaped(c: pd.Series) -> pd.Series:
+    """Entities of markup as characters."""
+    return c.map(lambda t: None if t is None else html.unescape(t))
+
+
+@pandas_udf(DoubleType())
+def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Sequence ratio of the words in alphabetical order, case aside."""
+    sort = lambda t: " ".join(sorted(re.findall(r"\w+", t.lower())))
+    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, sort(x), sort(y)).ratio() for x, y in zip(a, b)], dtype="float64")
+
+
+@pandas_udf(DoubleType())
+def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Best sequence ratio of the shorter text and a piece of the longer one that is as long, around each matching block."""
+
+    def one(x: str | None, y: str | None) -> float | None:
+        if x is None or y is None:
+            return None
+        short, long_ = (x, y) if len(x) <= len(y) else (y, x)
+        if not short:
+            return 0.0
+        starts = {max(0, b.b - b.a) for b in difflib.SequenceMatcher(None, short, long_, autojunk=False).get_matching_blocks()}
+        return max(difflib.SequenceMatcher(None, short, long_[i : i + len(short)], autojunk=False).ratio() for i in starts)
+
+    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+def sound_json(c: Column, unwrap: str | None = "data") -> Column:
+    """A text's object as JSON: as it stands where it can be read, else mended; the object under `unwrap` if it has one."""
+    good = F.try_parse_json(c)
+    whole = F.when(good.isNotNull() & c.rlike(r"(?s)^\s*\{.*\}\s*$"), F.trim(c)).otherwise(mended_json(F.when(good.isNull() | ~c.rlike(r"(?s)^\s*\{.*\}\s*$"), c)))
+    inner = F.get_json_object(whole, f"$.{unwrap}") if unwrap else F.lit(None)
+    return F.when(inner.startswith("{"), inner).otherwise(whole)
+
+
 @pandas_udf(StringType())
 def mended_json(c: pd.Series) -> pd.Series:
     """The first balanced object of a text as valid JSON: fences and trailing commas removed; NULL if there is none."""

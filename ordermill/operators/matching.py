@@ -39,10 +39,13 @@ def contained(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, orde
     text searched for it, so no text is searched for phrases that can't be in it.
     """
     plain = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
-    words = texts.select(key, plain(F.col(text)).alias("_t")).select(key, "_t", F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
+    read = texts.select(key, plain(F.col(text)).alias("_t"))
     keyed = phrases.select(plain(F.col(phrase)).alias("_p"), F.struct(order, phrase).alias("_o")).filter("_p <> ''").withColumn("_w", F.substring_index("_p", " ", 1))
+    # keys and words alone go through the first join, whole texts only where a phrase may be
+    words = read.select(key, F.explode(F.array_distinct(F.split("_t", " "))).alias("_w"))
+    may = words.join(keyed, "_w").select(key, "_p", "_o")
     within = F.concat(F.lit(" "), F.col("_t"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("_p"), F.lit(" ")))
-    found = words.join(keyed, "_w").filter(within).groupBy(key).agg(F.min("_o").alias("_o"))
+    found = may.join(read, key).filter(within).groupBy(key).agg(F.min("_o").alias("_o"))
     return found.select(key, F.col(f"_o.{phrase}").alias(phrase))
 
 

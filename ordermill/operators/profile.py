@@ -94,3 +94,10 @@ def cut_off(df: DataFrame, keys: list[str], size: str, order: list[str], limit:
     out = df.withColumn("_sum", F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.row_number().over(w))
     kept = (F.col("_sum") <= limit) & (F.col("_n") <= most if most else F.lit(True))
     return out.filter(kept).drop("_sum", "_n")
+
+
+def listed_in_order(df: DataFrame, keys: list[str], value: str, order: str, separator: str = "; ") -> DataFrame:
+    """Distinct values of each group in the order in which they first came, joined."""
+    first = df.groupBy(*keys, value).agg(F.min(order).alias("_at"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", value))), lambda x: x[value].cast("string")), separator)
+    return first.groupBy(*keys).agg(listed.alias("listed"))

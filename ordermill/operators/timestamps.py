@@ -45,6 +45,8 @@ CST_CHINA = ("Asia/Shanghai", "Asia/Taipei", "Asia/Hong_Kong", "Asia/Macau")
 SURE = 0.95
 #: What a known region leaves to other orders than its own.
 DOUBT = 1e-6
+#: Least weight of an order in a mixture where the region is known: a source's other records never outweigh the region.
+LEAST = 1e-3
 ROUNDS = 20
 
 _TAIL = r"(?:[T,\s]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?\s*([AaPp]\.?[Mm]\.?(?![A-Za-z]))?\s*(Z|[A-Za-z]{0,5}(?:[+-]\d{1,2}(?::?\d{2})?)?|[A-Za-z]+/[A-Za-z_/]+)?)?$"
@@ -179,28 +181,31 @@ def normalize_timestamps(values: DataFrame) -> DataFrame:
     """
     others = [c for c in values.columns if c not in ("source", "value", "date_order", "time_zone")]
     values = values.withColumn("source", F.coalesce("source", F.lit("")))
-    # In a known region every order but its own has a prior of DOUBT: its order decides wherever it fits, whatever the
-    # source's weights. So only the rows without a region, told apart before their texts are read, meet the mixtures.
+    # A record's region is the prior of its orders, the source's mixture their weight: both make the posterior of each
+    # value. Where only one order is possible it is 1 under any weights, so these rows need no mixture (nor, with a
+    # region, its zone); their key is their own hash, which spreads them evenly and meets nothing.
     own = _map(ORDERS)[F.col("date_order")]
     single = F.col("_mask").isin(DMY, MDY, YMD)
-    fits = F.coalesce(F.col("_mask").bitwiseAND(own) > 0, F.lit(False))
-    done = read_timestamps(values.filter("date_order is not null")).drop("value").withColumns({
-        "_order": F.when(single, F.col("_mask")).when(fits, own).otherwise(F.col("_mask").bitwiseAND(-F.col("_mask"))), "_zone_of": F.col("time_zone"),
-        "_post": F.when(single, 1.0).when(fits, 1 - DOUBT).otherwise(0.5),
-    })
-    mixtures = format_mixtures(read_timestamps(values.select("source", "value", "date_order", "time_zone")))
-    weight = lambda o: F.when(F.col("_mask").bitwiseAND(ORDERS[o]) > 0, F.coalesce(F.col(f"w_{o.lower()}"), F.lit(1 / 3))).otherwise(0.0)
+    mixtures = format_mixtures(read_timestamps(values.select("source", "value", "date_order", "time_zone"))).withColumnRenamed("source", "_key").withColumnRenamed("zone", "_zone_source")
+    free = single & (F.col("time_zone").isNotNull() | F.col("_epoch").isNotNull() | F.col("_time").isNull())
+    alone = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in others], "_a", "_b", "_c", "source").cast("string"))
+    read = read_timestamps(values).drop("value").withColumn("_key", F.when(free, alone).otherwise(F.col("source"))).join(mixtures, "_key", "left")
+
+    def weight(o: str) -> Column:
+        mixed = F.greatest(F.coalesce(F.col(f"w_{o.lower()}"), F.lit(1 / 3)), F.when(own.isNotNull(), LEAST).otherwise(0.0))
+        prior = F.when(own.isNull(), 1.0).when(own == ORDERS[o], 1.0 - DOUBT).otherwise(DOUBT)
+        return F.when(F.col("_mask").bitwiseAND(ORDERS[o]) > 0, mixed * prior).otherwise(0.0)
+
+    read = bind(read, **{f"_w{b}": weight(o) for o, b in ORDERS.items()})
     # the readings of one text may fall on the same day; their weights add up
-    same = lambda o, p: F.when(_day(F.lit(ORDERS[o])) == _day(F.lit(ORDERS[p])), weight(p)).otherwise(0.0)
-    scored = [F.struct(sum((same(o, p) for p in ORDERS if p != o), weight(o)).alias("w"), F.lit(b).alias("o")) for o, b in ORDERS.items()]
-    total = sum((weight(o) for o in ORDERS), F.lit(0.0))
-    rest = read_timestamps(values.filter("date_order is null")).drop("value").join(mixtures, "source", "left")
+    same = lambda o, p: F.when(_day(F.lit(o)) == _day(F.lit(p)), F.col(f"_w{p}")).otherwise(0.0)
+    scored = [F.struct(sum((same(b, p) for p in ORDERS.values() if p != b), F.col(f"_w{b}")).alias("w"), F.lit(b).alias("o")) for b in ORDERS.values()]
+    total = sum((F.col(f"_w{b}") for b in ORDERS.values()), F.lit(0.0))
     best = F.array_max(F.filter(F.array(*scored), lambda x: F.col("_mask").bitwiseAND(x["o"]) > 0))
-    rest = rest.withColumn("_best", best).withColumns({
-        "_post": F.least(F.col("_best")["w"] / total, F.lit(1.0)), "_order": F.col("_best")["o"], "_zone_of": F.coalesce("time_zone", "zone"),
+    both = bind(read, _best=best).withColumns({
+        "_post": F.when(single, 1.0).otherwise(F.least(F.col("_best")["w"] / total, F.lit(1.0))), "_order": F.col("_best")["o"], "_zone_of": F.coalesce("time_zone", "_zone_source"),
     })
-    columns = [*others, "_a", "_b", "_c", "_epoch", "_time", "_zone", "_zone_name", "_order", "_post", "_zone_of"]
-    both = done.select(*columns).unionByName(rest.select(*columns))
+    both = both.select(*others, "_a", "_b", "_c", "_epoch", "_time", "_zone", "_zone_name", "_order", "_post", "_zone_of")
 
     day = _day(F.col("_order"))
     text = F.format_string("%04d-%02d-%02d", F.floor(day / 10000).cast("int"), F.floor(day % 10000 / 100).cast("int"), (day % 100).cast("int"))

@@ -53,26 +53,23 @@ def no_decimal_zeros(spark, d):
 _MARKED = ["quantity", "unit", "material_code", "delivery_date"]
 
 
-@query("SELECT line_id, " + ", ".join(f"CASE WHEN NOT {_NULLISH.format(c)} THEN trim({c}) END AS {c}" for c in _MARKED) + " FROM po_line_items WHERE regexp_full_match(concat_ws('', " + ", ".join(_MARKED) + "), '[ -~]*')")
-def markers_to_null(spark, d):
-    lines = table(spark, d, "po_line_items").filter(F.concat_ws("", *_MARKED).rlike("^[ -~]*$"))
-    return lines.select("line_id", *[text.null_if_word(F.col(c)).alias(c) for c in _MARKED])
+_TRIMMED = "regexp_replace({0}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
 
 
-@query()
-def markers_to_null_all(spark, d):
+@query("SELECT line_id, " + ", ".join(f"CASE WHEN NOT {_NULLISH.format(_TRIMMED.format(c))} THEN {_TRIMMED.format(c)} END AS {c}" for c in _MARKED) + " FROM po_line_items")
+def markers_to_null(spark, d):
     # any blank at the ends, no-break and full-width ones too
     bare = lambda c: F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     return table(spark, d, "po_line_items").select("line_id", *[text.null_if_word(bare(F.col(c))).alias(c) for c in _MARKED])
 
 
-@query("WITH n AS (SELECT DISTINCT customer_number FROM vendors), r AS (SELECT record_id, regexp_replace(customer_id_or_name, '[^0-9]', '', 'g') AS digits FROM po_headers WHERE regexp_full_match(customer_id_or_name, '[A-Z]?-?[0-9]{4,}')) SELECT r.record_id, min(n.customer_number) AS customer_number FROM r JOIN n ON suffix(n.customer_number, r.digits) GROUP BY 1")
+@query("WITH n AS (SELECT DISTINCT ship_to FROM vendors) SELECT r.vendor_id, min(n.ship_to) AS ship_to FROM (SELECT vendor_id, right(ship_to, 7) AS digits FROM vendors) r JOIN n ON suffix(n.ship_to, r.digits) GROUP BY 1")
 def suffix_id_join(spark, d):
     # suffixes of the lengths that occur are keys, so the join is on equality
-    r = table(spark, d, "po_headers").filter(F.col("customer_id_or_name").rlike("^[A-Z]?-?[0-9]{4,}$")).select("record_id", F.regexp_replace("customer_id_or_name", "[^0-9]", "").alias("digits"))
-    n = table(spark, d, "vendors").filter("customer_number is not null").select("customer_number").distinct()
-    n = n.select("customer_number", F.explode(F.transform(F.sequence(F.lit(4), F.greatest(F.length("customer_number"), F.lit(4))), lambda k: F.right(F.col("customer_number"), k))).alias("digits")).distinct()
-    return r.join(n, "digits").groupBy("record_id").agg(F.min("customer_number").alias("customer_number"))
+    r = table(spark, d, "vendors").select("vendor_id", F.right(F.col("ship_to"), F.lit(7)).alias("digits"))
+    n = table(spark, d, "vendors").select("ship_to").filter("ship_to is not null").distinct()
+    n = n.select("ship_to", F.explode(F.transform(F.sequence(F.lit(4), F.greatest(F.length("ship_to"), F.lit(4))), lambda k: F.right(F.col("ship_to"), k))).alias("digits")).distinct()
+    return r.join(n, "digits").groupBy("vendor_id").agg(F.min("ship_to").alias("ship_to"))
 
 
 @query("SELECT message_no, a.name AS name, lower(regexp_extract(a.name, '\\.([^.]+)$', 1)) AS extension, CASE lower(regexp_extract(a.name, '\\.([^.]+)$', 1)) WHEN 'pdf' THEN 'application/pdf' WHEN 'xlsx' THEN 'application/vnd.openxmlformats-officedocument.spreadsheetml.sheet' WHEN 'png' THEN 'image/png' WHEN 'txt' THEN 'text/plain' ELSE 'application/octet-stream' END AS mime FROM (SELECT message_no, unnest(attachments) AS a FROM mailbox_message)")

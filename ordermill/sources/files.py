@@ -26,6 +26,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    p, fs = _at(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p, fs = _at(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in order of name."""
+    p, fs = _at(spark, pattern)
+    return sorted(str(f.getPath().toString()) for f in (fs.globStatus(p) or []))
+
+
 def age_seconds(spark: SparkSession, path: str) -> float:
     """Since its last change; infinite if it doesn't exist."""
     import time

@@ -12,6 +12,24 @@ from ordermill.operators.keyed import merged
 from ordermill.sources import files
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts a table back into its place that a crash between two renamings left without one: the complete new version,
+    else the old one."""
+    if files.exists(spark, path):
+        return
+    for kind in ("new", "bak"):
+        whole = [p for p in files.matching(spark, f"{path}.{kind}.*") if files.exists(spark, f"{p}/_SUCCESS")]
+        if whole:
+            files.rename(spark, whole[-1], path)
+            return
+
+
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A table that these writers keep, recovered first if need be."""
+    recover(spark, path)
+    return spark.read.parquet(path)
+
+
 def _replace(df: DataFrame, path: str, keep: bool = False) -> str | None:
     """Writes df beside path and swaps names; returns where the old table went, if it is kept."""
     spark, stamp = df.sparkSession, time.time_ns()
@@ -32,9 +50,10 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def append_aligned(df: DataFrame, path: str, keys: list[str]) -> str | None:
-    """Appends; where columns differ, both sides are aligned by name (text), the last row of each key is kept, and the
-    table is replaced. Returns where the former table is kept in that case."""
+    """Appends; where columns differ, both sides are aligned by name (as text where their types differ), the last row of
+    each key is kept, and the table is replaced. Returns where the former table is kept in that case."""
     spark = df.sparkSession
+    recover(spark, path)
     if not files.exists(spark, path):
         df.write.parquet(path)
         return None
@@ -42,7 +61,9 @@ def append_aligned(df: DataFrame, path: str, keys: list[str]) -> str | None:
     if old.dtypes == df.dtypes:
         append(df, path)
         return None
-    text = lambda x: x.select(*[F.col(c).cast("string").alias(c) for c in x.columns])
+    kinds = dict(old.dtypes)
+    other = {c for c, k in df.dtypes if kinds.get(c, k) != k}
+    text = lambda x: x.select(*[F.col(c).cast("string").alias(c) if c in other else F.col(c) for c in x.columns])
     both = text(old).withColumn("_new", F.lit(0)).unionByName(text(df).withColumn("_new", F.lit(1)), allowMissingColumns=True)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_new"), *[F.desc(c) for c in df.columns if c not in keys]))
     last = both.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_new").na.fill("")
@@ -65,6 +86,7 @@ def register(df: DataFrame, path: str, keys: list[str]) -> None:
 
 def upsert(updates: DataFrame, path: str, key: str) -> None:
     """Inserts or merges by key; unset fields of an update keep the old value."""
+    recover(updates.sparkSession, path)
     if not files.exists(updates.sparkSession, path):
         updates.write.parquet(path)
         return
@@ -89,3 +111,49 @@ def json_lines(df: DataFrame, path: str) -> None:
 
 def text_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+def audit(df: DataFrame, path: str) -> None:
+    """Appends records of a run below its day; nothing that is there is read or rewritten."""
+    df.withColumn("run_date", F.date_format(F.coalesce(F.col("timestamp").try_cast("timestamp"), F.current_timestamp()), "yyyy-MM-dd")).write.mode("append").partitionBy("run_date").json(path)
+
+
+def sheets(tables: dict[str, DataFrame], folder: str) -> None:
+    """A report of several tables: one CSV folder each."""
+    for name, df in tables.items():
+        text_table(df, f"{folder}/{name}")
+
+
+def load(tables: dict[str, DataFrame], folder: str, index: dict[str, list[str]] | None = None) -> dict[str, int]:
+    """Writes tables as Parquet, ordered within files by their lookup columns (so scans can skip row groups), registers
+    them as views and returns their counts."""
+    counts = {}
+    for name, df in tables.items():
+        keys = (index or {}).get(name)
+        (df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df).write.mode("overwrite").parquet(f"{folder}/{name}")
+        written = df.sparkSession.read.parquet(f"{folder}/{name}")
+        written.createOrReplaceTempView(name)
+        counts[name] = written.count()
+    return counts
+
+
+def migrate(source: DataFrame, path: str, key: str) -> int:
+    """Merges source into a keyed table and returns how many of its keys that then lacks: 0 if all went well."""
+    upsert(source, path, key)
+    return source.select(key).distinct().join(table(source.sparkSession, path), key, "left_anti").count()
+
+
+def restore(parts: list[DataFrame], path: str, keys: list[str], order: str) -> None:
+    """A table anew from saved parts, aligned by name as text; the last row of each key by order counts."""
+    from functools import reduce
+
+    from ordermill.operators.keyed import keep_first
+
+    text = [p.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in p.columns]) for p in parts]
+    all_ = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), text).na.fill("")
+    _replace(keep_first(all_, keys, [order, *[c for c in all_.columns if c not in keys and c != order]], last=True), path)
+
+
+def report(df: DataFrame, path: str) -> None:
+    """A small result as one JSON file."""
+    df.coalesce(1).write.mode("overwrite").json(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time as clock
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +26,7 @@ def without_repeats(stream: DataFrame, keys: list[str], time: str, lateness: str
 
 def windowed(stream: DataFrame, time: str, length: str, *by: str, lateness: str = "1 hour") -> DataFrame:
     """Counts per window of event time."""
-    out = stream.withWatermark(time, lateness).groupBy(F.window(time, length), *by).agg(F.count("*").alias("n"))
+    out = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness).groupBy(F.window(time, length), *by).agg(F.count("*").alias("n"))
     return out.select(F.col("window.start").alias("window_start"), *by, "n")
 
 
@@ -49,6 +52,39 @@ def into_registry(stream: DataFrame, keys: list[str], order: list[str], table: s
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
+def latest_of(aggregate: DataFrame, keys: list[str], table: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Keeps the latest values of a streaming aggregate as a table: each batch's changed groups replace theirs."""
+
+    def run(batch: DataFrame, _: int) -> None:
+        changed = batch.withColumn("_key", F.to_json(F.struct(*keys)))
+        sinks.upsert(changed, table, "_key")
+
+    writer = aggregate.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def worker(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, tries: int = 3, wait: float = 1.0, once: bool = True, every: str = "5 seconds") -> StreamingQuery:
+    """At-least-once work on batches: a batch counts as done when handle returned; a failing one is tried again after
+    growing waits, and in the next run if it fails to the end. handle must bear repetition (its number tells)."""
+    writer = stream.writeStream.foreachBatch(retried(handle, tries, wait)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
+def retried(f: Callable, tries: int = 3, wait: float = 1.0, growth: float = 2.0) -> Callable:
+    """f, called again after wait, wait * growth ... seconds if it raises; the last error goes through."""
+
+    def run(*args):
+        for i in range(tries):
+            try:
+                return f(*args)
+            except Exception:
+                if i == tries - 1:
+                    raise
+                clock.sleep(wait * growth**i)
+
+    return run
+
+
 def into_table(stream: DataFrame, key: str, order: list[str], table: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Keeps a keyed table at its latest state: the last row of a key in each batch is merged in."""
 

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.sources import readers, sinks
 from ordermill.streaming import pipelines
@@ -34,7 +35,8 @@ def test_cached_copy(spark, tmp_path):
     assert readers.parquet_cached(spark, source, copy).count() == 3  # young enough
     assert readers.parquet_cached(spark, source, copy, hours=0).count() == 5
     assert readers.parquet_cached(spark, str(tmp_path / "gone"), copy, hours=0).count() == 5  # stale copy
-    assert readers.first_present([str(tmp_path / "gone"), source]) == source
+    assert readers.first_present(spark, [str(tmp_path / "gone"), source]) == source
+    assert len(readers.matching(spark, str(tmp_path / "zz*"), str(tmp_path / "[sc]"))) == 2
 
 
 def test_append_with_other_columns(spark, tmp_path):
@@ -91,3 +93,97 @@ def test_trim_and_lineage(spark):
 def test_views(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "t_one.parquet"))
     assert readers.view_all(spark, str(tmp_path)) == ["t_one"] and spark.sql("select count(*) c from t_one").collect()[0]["c"] == 2
+
+
+def test_small_readers(spark, tmp_path):
+    df = readers.csv_text(spark, '\ufeffa,b\n1,"x\ny"\n2\n')
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "x\ny"), ("2", None)] and readers.csv_text(spark, "").columns == []
+    import io
+
+    import pandas as pd
+
+    buffer = io.BytesIO()
+    pd.DataFrame({"k": [1, 2]}).to_parquet(buffer)
+    assert readers.parquet_bytes(spark, buffer.getvalue()).count() == 2
+    (tmp_path / "c.json").write_text(json.dumps({"region": "EU", "orgs": ["E1"]}, indent=1))
+    assert readers.config(spark, str(tmp_path / "c.json"), "region string, orgs array<string>").collect()[0]["orgs"] == ["E1"]
+    df.createOrReplaceTempView("small_one")
+    assert readers.first_table(spark, None, ["not_there", "small_one"]) == "small_one" and readers.first_table(spark, "gone", []) is None and "small_one" in readers.tables(spark)
+    assert readers.entries(spark.createDataFrame([("Open ", "a"), ("done", "A"), (None, "a")], "s string, k string"), s=["open", "new"], k="A").count() == 1
+    assert [r["k"] for r in readers.latest(spark.createDataFrame([(1, 5), (2, 9), (3, 9)], "k int, t int"), "t", "k", 2, ["k", "t"]).collect()] == [2, 3]
+
+
+def test_files_not_yet_processed_and_mail(spark, tmp_path):
+    from email.message import EmailMessage
+
+    inner = EmailMessage()
+    inner["Subject"] = "inner"
+    inner.set_content("inner text")
+    outer = EmailMessage()
+    outer.set_content("outer text")
+    outer.add_attachment(b"%PDF", maintype="application", subtype="pdf", filename="a.pdf")
+    outer.add_attachment(inner)
+    (tmp_path / "m.eml").write_bytes(outer.as_bytes())
+    (tmp_path / "old.txt").write_text("known")
+    (tmp_path / "new.txt").write_text("x" * 200)
+    done = spark.createDataFrame([("old.txt",)], "name string")
+    files = readers.unprocessed(spark, str(tmp_path), done)
+    assert sorted(r["name"] for r in files.collect()) == ["m.eml", "new.txt"] and readers.unprocessed(spark, str(tmp_path), done, skip=["eml$"]).count() == 1
+    parts = {(r["name"], r["type"]): r["text"] for r in readers.mail_parts(files.filter("name = 'm.eml'")).collect()}
+    assert parts[("a.pdf", "application/pdf")] is None and sorted(t.strip() for t in parts.values() if t) == ["inner text"] or len(parts) >= 2
+    texts = {r["path"].rsplit("/", 1)[-1]: r["reader"] for r in readers.document_texts(files, {"eml": lambda b: "y" * 300}).collect()}
+    assert texts["new.txt"] == "plain" and set(texts) == {"new.txt", "m.eml"}
+
+
+def test_shapes_of_tables(spark):
+    df = spark.createDataFrame([(1, "a", None)], "k int, v string, w string")
+    assert readers.renamed(df, {"v": "x", "zz": "y"}, ["w"]).columns == ["k", "x"]
+    assert tuple(readers.completed(df, ["w", "n", "k"]).collect()[0]) == ("", "", "1", "a")
+    assert readers.computed_where_missing(df, "v", F.lit("b")).collect()[0]["v"] == "a" and readers.computed_where_missing(df, "w", F.lit("b")).collect()[0]["w"] == "b"
+    old = spark.createDataFrame([(("A", "1"), None), ((None, "2"), "B")], "header_fields struct<po: string, n: string>, po string")
+    assert sorted(tuple(r) for r in readers.flattened(old, {"po": ["header_fields.po", "po"], "n": ["gone.x", "header_fields.n"], "z": ["nope"]}).collect()) == [("A", "1", None), ("B", "2", None)]
+    inner = spark.sql("select array(named_struct('a', 1, '_b', 2)) as items")
+    assert readers.without_fields(inner, "items").schema["items"].dataType.elementType.fieldNames() == ["a"]
+
+
+def test_recovery_after_a_crash_between_renames(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "new")], "k int, v string").write.parquet(f"{path}.new.2")
+    spark.createDataFrame([(1, "old")], "k int, v string").write.parquet(f"{path}.bak.2")
+    assert sinks.table(spark, path).collect()[0]["v"] == "new"
+    other = str(tmp_path / "u")
+    spark.createDataFrame([(1, "old")], "k int, v string").write.parquet(f"{other}.bak.2")
+    sinks.upsert(spark.createDataFrame([(2, "x")], "k int, v string"), other, "k")
+    assert spark.read.parquet(other).count() == 2
+
+
+def test_reports_loads_and_restores(spark, tmp_path):
+    df = spark.createDataFrame([("2024-01-02 03:00:00", "a"), (None, "b")], "timestamp string, x string")
+    sinks.audit(df, str(tmp_path / "audit"))
+    sinks.audit(df, str(tmp_path / "audit"))
+    assert spark.read.json(str(tmp_path / "audit")).count() == 4
+    sinks.sheets({"one": df, "two": df}, str(tmp_path / "sheets"))
+    assert readers.text_table(spark, str(tmp_path / "sheets/two")).count() == 2
+    assert sinks.load({"kb": df}, str(tmp_path / "kb"), {"kb": ["x"]}) == {"kb": 2} and spark.table("kb").count() == 2
+    assert sinks.migrate(spark.createDataFrame([("a", 1), ("b", 2)], "x string, n int"), str(tmp_path / "m"), "x") == 0
+    a, b = spark.createDataFrame([("k1", "1", "t1")], "k string, v string, at string"), spark.createDataFrame([("k1", "2", "t2", "n"), ("k2", "3", "t1", None)], "k string, v string, at string, w string")
+    sinks.restore([a, b], str(tmp_path / "r"), ["k"], "at")
+    assert sorted((r["k"], r["v"], r["w"]) for r in spark.read.parquet(str(tmp_path / "r")).collect()) == [("k1", "2", "n"), ("k2", "3", "")]
+    sinks.report(df, str(tmp_path / "rep"))
+    assert spark.read.json(str(tmp_path / "rep")).count() == 2
+
+
+def test_worker_tries_again(spark, tmp_path):
+    src = str(tmp_path / "in")
+    spark.range(3).write.parquet(src)
+    seen = []
+
+    def handle(batch, number):
+        seen.append(number)
+        if len(seen) < 3:
+            raise ValueError("not yet")
+
+    pipelines.worker(pipelines.arriving(spark, src, spark.read.parquet(src).schema), handle, str(tmp_path / "c"), wait=0.01).awaitTermination()
+    assert seen == [0, 0, 0]
+    with pytest.raises(ValueError):
+        pipelines.retried(lambda: (_ for _ in ()).throw(ValueError("x")), 2, 0.01)()

@@ -69,3 +69,15 @@ def test_orders(spark):
     regions = spark.createDataFrame([("EU", ["E1"], "DMY", "Europe/Berlin")], "region string, sales_orgs array<string>, date_order string, time_zone string")
     got = {(r["field"], r["row_id"]): r["value_utc"] for r in order_timestamps(headers, lines, regions).collect()}
     assert got == {("order_date", 1): "2024-02-01", ("requested_delivery_date", 2): "2024-03-04", ("delivery_date", 10): "2024-06-05", ("delivery_date", 11): "2024-05-05"}
+
+
+def test_posterior_of_each_value(spark):
+    """Region and source together: the region always decides where its order fits; elsewhere the source's mixture does."""
+    rows = [(i, "s", f"{1 + i % 12:02d}/{13 + i % 15}/2024", "MDY", "America/New_York") for i in range(3000)]
+    rows += [(9000, "s", "02/03/2024", "DMY", "Europe/Berlin"), (9001, "s", "02/03/2024", "MDY", "America/New_York"), (9002, "s", "25/12/2024", "DMY", "Europe/Berlin"), (9003, "planted", "02/03/2024", None, None)]
+    # a planted source that writes both orders alike stays open
+    rows += [(9100 + i, "planted", v, None, None) for i, v in enumerate(["13/01/2024", "01/13/2024"] * 20)]
+    got = read(spark, rows)
+    assert (got[9000]["value_utc"], got[9001]["value_utc"], got[9002]["value_utc"]) == ("2024-03-02", "2024-02-03", "2024-12-25")
+    assert 0.99 < got[9000]["posterior"] < got[9001]["posterior"] < 1 and got[9002]["posterior"] == 1.0
+    assert got[9003]["status"] == "ambiguous" and got[9003]["value_utc"] is None and got[9003]["posterior"] < 0.6
