@@ -67,7 +67,7 @@ def rare_token_pairs(left: DataFrame, right: DataFrame, left_tokens: str, right_
     a = left.filter(n > 0).select(left_key, *same, n.alias("_k"), F.explode(left_tokens).alias("_t")).join(held, [*same, "_t"], "left")
     order = F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_t").alias("t"))))
     few = a.groupBy(left_key, *same, "_k").agg(order.alias("_o"))
-    prefix = F.slice("_o", F.lit(1), (F.col("_k") - F.ceil(F.col("_k") * F.lit(share)) + 1).cast("int"))
+    prefix = F.slice("_o", F.lit(1), (F.col("_k") - F.ceil(F.col("_k") * F.lit(share) - 1e-9) + 1).cast("int"))
     asked = few.select(left_key, *same, F.explode(prefix).alias("_p")).select(left_key, *same, F.col("_p.t").alias("_t"))
     return asked.join(b, [*same, "_t"]).select(left_key, right_key).distinct()
 
