@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -31,6 +32,7 @@ _BEFORE = {
     "via": "via v", "viale": "viale|v le|vle", "corso": "corso|c so|cso", "calle": "calle c cl", "polind": "|poligono industrial|pol ind|pol industrial|poligono ind|p i", "paseo": "paseo|p o", "rua": "rua r", "ul": "ulica ul", "al": "aleja al aleje", "largo": "largo", "zi": "|zona industrial|zone industrielle|zona ind|z i|zi",
 }
 _SUFFIX = (("strasse", "str"), ("str", "str straat"), ("weg", "weg"), ("wg", "weg"), ("gasse", "gasse"), ("straat", "straat"), ("laan", "laan"), ("ln", "laan"), ("kade", "kade"), ("plein", "plein"), ("platz", "platz"), ("allee", "allee"))
+_ENDS = tuple(e for e, _ in _SUFFIX)
 _COUNTRIES = {
     "DE": "de deu d germany deutschland allemagne", "AT": "at aut a austria osterreich", "CH": "ch che switzerland schweiz", "FR": "fr fra f france frankreich", "IT": "it ita i italy italia italien", "ES": "es esp e spain espana spanien", "PT": "pt prt portugal",
     "NL": "nl nld netherlands nederland niederlande|the netherlands|holland", "BE": "be bel belgium belgique", "PL": "pl pol poland polska polen", "GB": "gb gbr uk england|united kingdom|great britain|u k|scotland|wales", "US": "us usa|u s a|u s|united states|united states of america",
@@ -42,14 +44,17 @@ _NOISE = re.compile(
 )
 # a remark that refers to another field
 _REMARK = re.compile(r"^(s ?o|s ?u|same( as)?.*|as above.*|see .*|siehe .*|wie .*|dito|ditto|idem.*|id|ibid.*|voir .*|igual (que|a) .*|gleiche? (wie|adresse|lieferadresse|lieferanschrift).*|unchanged|n a|none|null|nan|tbd|-)?$")
-_POSTCODES = (
+_POSTCODES = tuple(re.compile(p) for p in (
     r"\b[a-z]{1,2}\d{1,2}[a-z]? ?\d[a-z]{2}\b", r"\b[a-z]\d[a-z] ?\d[a-z]\d\b", r"\b\d{4} ?[a-z]{2}\b(?= |$)", r"\b\d{2}-\d{3}\b", r"\b\d{3}-\d{4}\b", r"\b\d{4}-\d{3}\b", r"\b\d{5,7}\b", r"\b\d{4}\b(?!-)",
-)
+))
 _SAINTS = {"st": "saint", "ste": "saint", "sankt": "saint", "ft": "fort", "mt": "mount", "sta": "santa", "sto": "santo", "pt": "port", "pto": "puerto", "nw": "new"}
 
 
+_UMLAUT = re.compile(r"([aou])e(?=[^aeiou]|$)")
+
+
 def _umlauts(t: str) -> str:
-    return re.sub(r"([aou])e(?=[^aeiou]|$)", r"\1", t)
+    return _UMLAUT.sub(r"\1", t)
 
 
 def _spellings(text: str) -> list[str]:
@@ -62,6 +67,7 @@ _TYPE_BEFORE = [(w, k) for k, ws in _BEFORE.items() for w in _spellings(ws)]
 _COUNTRY_OF = {w: k for k, ws in _COUNTRIES.items() for w in _spellings(ws)}
 _BEHIND_RE = re.compile(r"(?=\b([a-z]{3,}(?: ?- ?[a-z]{3,})?) (%s)\b)" % "|".join(sorted({w for w, _ in _TYPE_BEHIND}, key=len, reverse=True)))
 _BEFORE_RE = re.compile(r"(?=\b(%s) (?:(?:de la|de|du|des|del|della|da|do|dos) )?([a-z]{4,})\b)" % "|".join(sorted({w for w, _ in _TYPE_BEFORE}, key=len, reverse=True)))
+_NO_LETTERS = re.compile(r"[^a-z ]+")
 _BEHIND_OF: dict[str, set[str]] = {}
 for _w, _k in _TYPE_BEHIND:
     _BEHIND_OF.setdefault(_w, set()).add(_k)
@@ -69,19 +75,26 @@ _BEFORE_OF: dict[str, set[str]] = {}
 for _w, _k in _TYPE_BEFORE:
     _BEFORE_OF.setdefault(_w, set()).add(_k)
 _NUMBER = r"(?:no|nr|num|n|numero|haus)? ?#? ?(\d{1,6}) ?([a-z])?\b(?!-?\d)"
+_NUMBER_AFTER, _NUMBER_NEXT, _NUMBER_BEFORE = (re.compile(p) for p in (r"^ ?(,)? ?" + _NUMBER, r"^ ?,? ?" + _NUMBER, r"(?:^|[ ,])" + _NUMBER + r" ?,? ?$"))
+_BLANKS, _NO_SIGN, _WORD, _LETTERS, _BETWEEN = (re.compile(p) for p in (r"\s+", r"[^a-z0-9# -]+", r"\w+", r"[a-z]+", r"[,0-9#]+"))
+_NAME, _TWO_NUMBERS = re.compile(r"[a-z]+(?: ?- ?[a-z]+)?"), re.compile(r"\b(\d{1,4}) (\d{1,4})\b")
 #: Digits of a house number that is told from a postcode by nothing else.
 SHORT = 3
 
 
+@lru_cache(50_000)
 def folded(text: str) -> str:
     """Lower case without accents; ae, oe, ue as a, o, u, so that both ways to write an umlaut agree."""
     t = text.lower().replace("ß", "ss").replace("ł", "l").replace("ø", "o").replace("æ", "ae").replace("đ", "d")
-    t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    if not t.isascii():
+        t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
     return _umlauts(t)
 
 
 def _letters(m: re.Match) -> str:
     w = m.group()
+    if w.isalpha() or w.isdigit():
+        return w
     return w.replace("0", "o").replace("1", "l").replace("5", "s") if len(re.sub(r"\d", "", w)) >= 4 and re.search(r"[a-z]\d[a-z]|^\d[a-z]{4}|[a-z]{4}\d$", w) else w
 
 
@@ -125,17 +138,18 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
         return None
     t = folded(text)
     parts = re.split(r"[,;/|\n\r]+", re.sub(r"\bc/o\b", "c o", re.sub(r"\bc/ ?", "calle ", t)))
-    parts = [re.sub(r"\s+", " ", re.sub(r"[^a-z0-9# -]+", " ", p)).strip() for p in parts]
+    parts = [_BLANKS.sub(" ", _NO_SIGN.sub(" ", p)).strip() for p in parts]
     flat = " , ".join(p for p in parts if p)
     if _REMARK.match(flat.strip(" -#")):
         return None
-    flat = re.sub(r"\w+", _letters, flat)
+    flat = _WORD.sub(_letters, flat)
     flat = re.sub(r"(?<=\d) ?- (?=\d)|(?<=\d) -(?=\d)", "-", flat)
     flat = _NOISE.sub(" , ", re.sub(r"\b([a-z])-(?=\d)", r"\1-", flat))
-    flat = re.sub(r"\s+", " ", flat).strip()
+    flat = _BLANKS.sub(" ", flat).strip()
     found_country = ""
-    for p in [country or "", *reversed(flat.split(" , "))]:
-        k = _COUNTRY_OF.get(re.sub(r"[^a-z ]+", " ", folded(p)).strip())
+    # the parts of the text are folded already
+    for p in [folded(country or ""), *reversed(flat.split(" , "))]:
+        k = _COUNTRY_OF.get(_NO_LETTERS.sub(" ", p).strip())
         if k:
             found_country = k
             break
@@ -148,11 +162,11 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
 
     def numbered(a: int, b: int, name: str, kinds: set[str]) -> None:
         before, after = flat[:a], flat[b:]
-        m = re.match(r"^ ?(,)? ?" + _NUMBER, after)
+        m = _NUMBER_AFTER.match(after)
         hits = []
         if m and not (m.group(1) and len(m.group(2)) > SHORT) and postcode_form(postcode or "") != m.group(2):
-            hits.append((re.match(r"^ ?,? ?" + _NUMBER, after), b, b + m.end()))
-        m2 = re.search(r"(?:^|[ ,])" + _NUMBER + r" ?,? ?$", before)
+            hits.append((_NUMBER_NEXT.match(after), b, b + m.end()))
+        m2 = _NUMBER_BEFORE.search(before)
         if m2:
             hits.append((m2, m2.start(), a))
         few = [h for h in hits if len(h[0].group(1)) <= SHORT]
@@ -162,9 +176,9 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
                     streets.setdefault((_letter(name), k, str(int(m.group(1))) + (m.group(2) or "")))
                 used.append((min(a, x), max(b, y)) if few or len(m.group(1)) == 4 and x < a else (a, b))
 
-    for m in re.finditer(r"[a-z]+(?: ?- ?[a-z]+)?", flat):
-        w = re.sub(r"[ -]", "", m.group())
-        for end, k in _SUFFIX:
+    for m in _NAME.finditer(flat):
+        w = m.group().replace(" ", "").replace("-", "")
+        for end, k in _SUFFIX if w.endswith(_ENDS) else ():
             if w.endswith(end) and len(w) - len(end) >= 3 and w not in _BEHIND_OF:
                 numbered(m.start(), m.end(), w[: -len(end)], set(k.split()))
                 break
@@ -182,7 +196,7 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
     left = "".join(rest)
     codes = [postcode_form(postcode)] if postcode and postcode_form(postcode) else []
     for p in _POSTCODES:
-        for m in re.finditer(p, left):
+        for m in p.finditer(left):
             codes.append(postcode_form(m.group()))
             end = m.end()
             if re.fullmatch(r"\d{4} [a-z]{2}", m.group()):
@@ -190,13 +204,13 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
                 codes.append(m.group()[:4])
                 end = m.start() + 4
             left = left[: m.start()] + "," * (end - m.start()) + left[end:]
-    for m in re.finditer(r"\b(\d{1,4}) (\d{1,4})\b", left):
+    for m in _TWO_NUMBERS.finditer(left):
         if 4 <= len(m.group(1) + m.group(2)) <= 6:
             codes.append(m.group(1) + m.group(2))
     own = [town_form(city)] if city and len(town_form(city)) >= 2 else []
     towns, short = [], []
-    for p in re.split(r"[,0-9#]+", left):
-        words = [_SAINTS.get(w, w) for w in re.findall(r"[a-z]+", p)]
+    for p in _BETWEEN.split(left):
+        words = [_SAINTS.get(w, w) for w in _LETTERS.findall(p)]
         words = [w for w in words if not (w in _COUNTRY_OF and (len(w) > 2 or len(words) == 1))] or []
         for n in (3, 2, 1):
             for i in range(len(words) - n + 1):

@@ -414,9 +414,9 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
             v = agree(ta, tb, weight, rare)
             loose.append(v < NAME)
             if v < NAME and len(ta) > 1:
-                # a ship-to name may go on with words for the place: they count only where they fit
-                part = tuple(t for t in ta if any(token_similarity(t, x) >= TOKEN for x in tb))
-                v = agree(part, tb, weight, rare) if part and part[0] == ta[0] else 0.0
+                # a ship-to name may go on with words for the place: they count only where they fit, the first word always
+                like = lambda t, tb=tb: any(token_similarity(t, x) >= TOKEN for x in tb)
+                v = agree((ta[0], *filter(like, ta[1:])), tb, weight, rare) if like(ta[0]) else 0.0
             v = v + (0.04 if fa == fb else -0.06) if v and fa and fb else v
             s.append(v if v >= NAME else 0.0 if xxhash.xxh32_intdigest(f"{a}\0{b}") % REJECTED == 0 else None)
         out = pdf.assign(score=pd.Series(s, index=pdf.index, dtype="float64"), loose=pd.Series(loose, index=pdf.index, dtype="bool"))
