@@ -221,7 +221,7 @@ class Matcher:
             machine.add_word(g, ("weak" if doubtful else kind, g, (c, bits)))
         machine.make_automaton()
         self.machine = machine
-        self.turns: dict[str, dict[str, bool]] = {}
+        self.turns: dict[str, tuple[frozenset[str], frozenset[str]]] = {}
 
     def once(self, text: str) -> tuple[str, bool, bool]:
         """The text with its garbled spans replaced once, whether there were any, and whether more may lie beneath."""
@@ -357,12 +357,12 @@ class Matcher:
                     found.append((i, i + 1, table[back[text[i]]]))
         return found
 
-    def _turned(self, t: str) -> dict[str, bool]:
-        """Pair -> whether its reading of a trigram is seen MORE times as often; pairs that leave it, or of which
-        neither form is known, are left out."""
+    def _turned(self, t: str) -> tuple[frozenset[str], frozenset[str]]:
+        """Pairs whose reading of a trigram is seen MORE times as often, and those whose reading is not or that a text read
+        so can't have; pairs that leave it, or of which neither form is known, are in neither."""
         found = self.turns.get(t)
         if found is None:
-            found, n = {}, self.seen.get(t, 0)
+            better, worse, n = set(), set(), self.seen.get(t, 0)
             for wrong in READ_AS:
                 back = _encoded(wrong)
                 codes = [ord(c) if ord(c) < 128 else back.get(c) for c in t]
@@ -371,33 +371,46 @@ class Matcher:
                         continue
                     pair, table = f"{source}>{wrong}", _decoded(source)
                     if None in codes:
-                        found[pair] = False  # a text read as that encoding has no such character
+                        worse.add(pair)  # a text read as that encoding has no such character
                         continue
                     right = "".join(table[b] if b >= 128 else chr(b) for b in codes)
                     m = self.seen.get(right, 0)
                     if right[1] != t[1] and m + n > 0:
-                        found[pair] = m >= 3 and m >= MORE * n
+                        (better if m >= 3 and m >= MORE * n else worse).add(pair)
             if len(self.turns) > 100_000:
                 self.turns.clear()
-            self.turns[t] = found
+            found = self.turns[t] = frozenset(better), frozenset(worse)
         return found
 
+    def _candidates(self, trigrams: Counter) -> list[str]:
+        """Pairs under which TURNED trigrams and more turn: few texts have any."""
+        better: Counter = Counter()
+        for t in trigrams:
+            better.update(self._turned(t)[0])
+        return [p for p, n in better.items() if n >= TURNED]
+
     def pair_throughout(self, text: str) -> str | None:
-        """The pair of single-byte encodings of a text that is garbled from end to end, however frequent its garbled forms are."""
+        """The pair of single-byte encodings of a text that is garbled from end to end, however frequent its garbled forms are.
+
+        A pair with fewer than TURNED trigrams can't have more turned less unturned ones than one that passes.
+        """
         c: Counter = Counter()
         count_trigrams(text, c)
         if len(c) < TURNED:
             return None
-        better: Counter = Counter()
-        worse: Counter = Counter()
-        for t in c:
-            for pair, turned in self._turned(t).items():
-                (better if turned else worse)[pair] += 1
-        best = max(better, key=lambda p: (better[p] - worse[p], p), default=None)
-        return best if best and better[best] >= TURNED and better[best] >= SHARE * (better[best] + worse[best]) else None
+        score = {}
+        for p in self._candidates(c):
+            better, worse = sum(p in self._turned(t)[0] for t in c), sum(p in self._turned(t)[1] for t in c)
+            score[p] = better, worse
+        best = max(score, key=lambda p: (score[p][0] - score[p][1], p), default=None)
+        return best if best and score[best][0] >= SHARE * sum(score[best]) else None
 
     def _throughout(self, text: str) -> list[tuple[int, int, str]]:
         """The whole text's characters under its pair; else those of the lines that have one."""
+        c: Counter = Counter()
+        count_trigrams(text, c)
+        if not self._candidates(c):
+            return []  # lines have no other trigrams than the text
         parts = [(0, text)]
         if self.pair_throughout(text) is None:
             parts = [(m.start(), m.group()) for m in re.finditer(r"[^\n]+", text)] if "\n" in text else []
