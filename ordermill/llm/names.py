@@ -137,6 +137,13 @@ def _bigrams(t: str) -> frozenset[str]:
     return frozenset(t[i : i + 2] for i in range(len(t) - 1))
 
 
+def _missing(a: str, b: str) -> int:
+    """How many letters of a, each as often as it occurs, b lacks."""
+    for c in b:
+        a = a.replace(c, "", 1)
+    return len(a)
+
+
 def token_similarity(a: str, b: str) -> float:
     """1 for equal; less for typing errors, abbreviations, initials and nicknames; else 0."""
     if a == b:
@@ -158,9 +165,10 @@ def _unlike(a: str, b: str) -> float:
         return 0.9
     n = len(long_)
     if n >= 4 and n - len(short) <= 3:
-        most = 1 if n < 6 else 2 if n < 12 else 3
-        # an edit or swap spoils three bigrams at most
-        enough = len(_bigrams(a) & _bigrams(b)) >= min(len(_bigrams(a)), len(_bigrams(b))) - 3 * most
+        # more edits would leave less than TOKEN
+        most = min(1 if n < 6 else 2 if n < 12 else 3, int((1 - TOKEN) * n + 1e-9))
+        # an edit or swap spoils three bigrams at most, and one letter on each side
+        enough = len(_bigrams(a) & _bigrams(b)) >= min(len(_bigrams(a)), len(_bigrams(b))) - 3 * most and _missing(long_, short) <= most
         d = _edits(a, b, most) if enough else most + 1
         if d <= most and 1 - d / n >= TOKEN:
             return 1 - d / n
