@@ -20,24 +20,68 @@ from pyspark.sql import functions as F
 
 from ordermill.session import cut
 
-# Street types by class, single words first, phrases behind bars. A type stands behind the name, before
-# it, or is the end of its word.
+# Street types by class. A type stands behind the name, before it, or is the end of its word.
 _BEHIND = {
-    "str": "strasse str street", "platz": "platz pl place plein", "allee": "allee all", "weg": "weg wg", "road": "road rd", "st": "street st", "av": "avenue ave av aven", "blvd": "boulevard blvd bvd",
-    "lane": "lane ln", "drive": "drive dr", "way": "way", "ind": "|industrial park|industrial pk|ind park|ind pk|industriepark|industrial estate|ind est",
-    "straat": "straat", "laan": "laan ln", "gasse": "gasse g", "ring": "ring", "kade": "kade", "marg": "marg",
-}
+    "str": ("strasse", "str", "street"),
+    "platz": ("platz", "pl", "place", "plein"),
+    "allee": ("allee", "all"),
+    "weg": ("weg", "wg"),
+    "road": ("road", "rd"),
+    "st": ("street", "st"),
+    "av": ("avenue", "ave", "av", "aven"),
+    "blvd": ("boulevard", "blvd", "bvd"),
+    "lane": ("lane", "ln"),
+    "drive": ("drive", "dr"),
+    "way": ("way",),
+    "ind": ("industrial park", "industrial pk", "ind park", "ind pk", "industriepark", "industrial estate", "ind est"),
+    "straat": ("straat",),
+    "laan": ("laan", "ln"),
+    "gasse": ("gasse", "g"),
+    "ring": ("ring",),
+    "kade": ("kade",),
+    "marg": ("marg",),
+}
 _BEFORE = {
-    "rue": "rue r", "av": "avenue avenida ave av avda avd", "blvd": "boulevard blvd bvd bd bld", "allee": "allee all", "platz": "place plaza praca piazza plac pl", "chemin": "chemin ch", "route": "route rte",
-    "via": "via v", "viale": "viale|v le|vle", "corso": "corso|c so|cso", "calle": "calle c cl", "polind": "|poligono industrial|pol ind|pol industrial|poligono ind|p i", "paseo": "paseo|p o", "rua": "rua r", "ul": "ulica ul", "al": "aleja al aleje", "largo": "largo", "zi": "|zona industrial|zone industrielle|zona ind|z i|zi",
-}
-_SUFFIX = (("strasse", "str"), ("str", "str straat"), ("weg", "weg"), ("wg", "weg"), ("gasse", "gasse"), ("straat", "straat"), ("laan", "laan"), ("ln", "laan"), ("kade", "kade"), ("plein", "plein"), ("platz", "platz"), ("allee", "allee"))
+    "rue": ("rue", "r"),
+    "av": ("avenue", "avenida", "ave", "av", "avda", "avd"),
+    "blvd": ("boulevard", "blvd", "bvd", "bd", "bld"),
+    "allee": ("allee", "all"),
+    "platz": ("place", "plaza", "praca", "piazza", "plac", "pl"),
+    "chemin": ("chemin", "ch"),
+    "route": ("route", "rte"),
+    "via": ("via", "v"),
+    "viale": ("viale", "v le", "vle"),
+    "corso": ("corso", "c so", "cso"),
+    "calle": ("calle", "c", "cl"),
+    "polind": ("poligono industrial", "pol ind", "pol industrial", "poligono ind", "p i"),
+    "paseo": ("paseo", "p o"),
+    "rua": ("rua", "r"),
+    "ul": ("ulica", "ul"),
+    "al": ("aleja", "al", "aleje"),
+    "largo": ("largo",),
+    "zi": ("zona industrial", "zone industrielle", "zona ind", "z i", "zi"),
+}
+_SUFFIX = (("strasse", ("str",)), ("str", ("str", "straat")), ("weg", ("weg",)), ("wg", ("weg",)), ("gasse", ("gasse",)), ("straat", ("straat",)), ("laan", ("laan",)), ("ln", ("laan",)), ("kade", ("kade",)), ("plein", ("plein",)), ("platz", ("platz",)), ("allee", ("allee",)))
 _ENDS = tuple(e for e, _ in _SUFFIX)
 _COUNTRIES = {
-    "DE": "de deu d germany deutschland allemagne", "AT": "at aut a austria osterreich", "CH": "ch che switzerland schweiz", "FR": "fr fra f france frankreich", "IT": "it ita i italy italia italien", "ES": "es esp e spain espana spanien", "PT": "pt prt portugal",
-    "NL": "nl nld netherlands nederland niederlande|the netherlands|holland", "BE": "be bel belgium belgique", "PL": "pl pol poland polska polen", "GB": "gb gbr uk england|united kingdom|great britain|u k|scotland|wales", "US": "us usa|u s a|u s|united states|united states of america",
-    "CA": "ca can canada kanada", "CN": "cn chn prc china|p r china|p r c", "JP": "jp jpn japan nippon", "KR": "kr kor korea|south korea|republic of korea|rep of korea", "IN": "in ind india bharat",
-}
+    "DE": ("de", "deu", "d", "germany", "deutschland", "allemagne"),
+    "AT": ("at", "aut", "a", "austria", "osterreich"),
+    "CH": ("ch", "che", "switzerland", "schweiz"),
+    "FR": ("fr", "fra", "f", "france", "frankreich"),
+    "IT": ("it", "ita", "i", "italy", "italia", "italien"),
+    "ES": ("es", "esp", "e", "spain", "espana", "spanien"),
+    "PT": ("pt", "prt", "portugal"),
+    "NL": ("nl", "nld", "netherlands", "nederland", "niederlande", "the netherlands", "holland"),
+    "BE": ("be", "bel", "belgium", "belgique"),
+    "PL": ("pl", "pol", "poland", "polska", "polen"),
+    "GB": ("gb", "gbr", "uk", "england", "united kingdom", "great britain", "u k", "scotland", "wales"),
+    "US": ("us", "usa", "u s a", "u s", "united states", "united states of america"),
+    "CA": ("ca", "can", "canada", "kanada"),
+    "CN": ("cn", "chn", "prc", "china", "p r china", "p r c"),
+    "JP": ("jp", "jpn", "japan", "nippon"),
+    "KR": ("kr", "kor", "korea", "south korea", "republic of korea", "rep of korea"),
+    "IN": ("in", "ind", "india", "bharat"),
+}
 _NOISE = re.compile(
     r"\b(?:dock|gate|tor|rampe|ramp|halle|hall|hal|hala|building|bldg|bld|gebaude|batiment|bat|edificio|edif|unit|suite|door|porte|quai|muelle|nave|puerta|cancello|porta|brama|bloc|block|lager|level|stock|gebouw|gbd)\s*(?:no|nr|n)?\s*(?:[a-z]?\d{1,3}[a-z]?|[a-z])\b"
     r"|\b\d{1,2}\s*(?:st|nd|rd|th|er|eme|e|o|a)?\s*(?:floor|fl|etage|og|stock|piso|planta|piano|pietro|obergeschoss|andar|verdieping)\b|\b(?:floor|fl|etage|piso|planta|piano)\s*\d{1,2}\b|\b(?:attn|att|zhd|z hd|c o|fao)\s*:?\s*[a-z]+\b|\bp ?o ?box\s*\d+\b|\bpostfach\s*\d+\b"
@@ -57,14 +101,9 @@ def _umlauts(t: str) -> str:
     return _UMLAUT.sub(r"\1", t)
 
 
-def _spellings(text: str) -> list[str]:
-    words, *phrases = text.split("|")
-    return [_umlauts(w) for w in (*words.split(), *phrases)]
-
-
-_TYPE_BEHIND = [(w, k) for k, ws in _BEHIND.items() for w in _spellings(ws)]
-_TYPE_BEFORE = [(w, k) for k, ws in _BEFORE.items() for w in _spellings(ws)]
-_COUNTRY_OF = {w: k for k, ws in _COUNTRIES.items() for w in _spellings(ws)}
+_TYPE_BEHIND = [(_umlauts(w), k) for k, words in _BEHIND.items() for w in words]
+_TYPE_BEFORE = [(_umlauts(w), k) for k, words in _BEFORE.items() for w in words]
+_COUNTRY_OF = {_umlauts(w): k for k, words in _COUNTRIES.items() for w in words}
 _BEHIND_RE = re.compile(r"(?=\b([a-z]{3,}(?: ?- ?[a-z]{3,})?) (%s)\b)" % "|".join(sorted({w for w, _ in _TYPE_BEHIND}, key=len, reverse=True)))
 _BEFORE_RE = re.compile(r"(?=\b(%s) (?:(?:de la|de|du|des|del|della|da|do|dos) )?([a-z]{4,})\b)" % "|".join(sorted({w for w, _ in _TYPE_BEFORE}, key=len, reverse=True)))
 _NO_LETTERS = re.compile(r"[^a-z ]+")
@@ -180,7 +219,7 @@ def parse_address(text: str | None, postcode: str | None = None, city: str | Non
         w = m.group().replace(" ", "").replace("-", "")
         for end, k in _SUFFIX if w.endswith(_ENDS) else ():
             if w.endswith(end) and len(w) - len(end) >= 3 and w not in _BEHIND_OF:
-                numbered(m.start(), m.end(), w[: -len(end)], set(k.split()))
+                numbered(m.start(), m.end(), w[: -len(end)], set(k))
                 break
     for m in _BEHIND_RE.finditer(flat):
         if m.group(1) not in _BEFORE_OF and m.group(1) not in _BEHIND_OF:

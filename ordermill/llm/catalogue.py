@@ -26,11 +26,17 @@ TOLD = 3
 
 # Words for colours in descriptions, by colour.
 COLOURS = {
-    "WHITE": "WHITE WHT WH WEISS WEIß BLANC BIANCO BLANCO", "BLACK": "BLACK BLK BK SCHWARZ NOIR NERO NEGRO", "RED": "RED RD ROT ROUGE ROSSO ROJO",
-    "BLUE": "BLUE BLU BL BLAU BLEU AZUL", "YELLOW": "YELLOW YEL YL GELB JAUNE GIALLO AMARILLO", "GREY": "GREY GRY GRAY GRAU GRIS GRIGIO GR", "GREEN": "GREEN GRN GN GRÜN VERT VERDE", "NATURAL": "NATURAL NAT NATUR NATUREL NATURALE NA",
-}
+    "WHITE": ("WHITE", "WHT", "WH", "WEISS", "WEIß", "BLANC", "BIANCO", "BLANCO"),
+    "BLACK": ("BLACK", "BLK", "BK", "SCHWARZ", "NOIR", "NERO", "NEGRO"),
+    "RED": ("RED", "RD", "ROT", "ROUGE", "ROSSO", "ROJO"),
+    "BLUE": ("BLUE", "BLU", "BL", "BLAU", "BLEU", "AZUL"),
+    "YELLOW": ("YELLOW", "YEL", "YL", "GELB", "JAUNE", "GIALLO", "AMARILLO"),
+    "GREY": ("GREY", "GRY", "GRAY", "GRAU", "GRIS", "GRIGIO", "GR"),
+    "GREEN": ("GREEN", "GRN", "GN", "GRÜN", "VERT", "VERDE"),
+    "NATURAL": ("NATURAL", "NAT", "NATUR", "NATUREL", "NATURALE", "NA"),
+}
 # Words of a description that are neither name nor grade nor colour.
-OTHER_WORDS = "BULK KG BAG BAGS BIG OCTABIN OCTABINS COMPOUND GRANULAT GRANULÉS GRANULES GRANULATE RESIN MAT ART REF YOUR IHRE NR PN HI FR UV GF CF MF SACK LOSE VRAC MATERIAL REV"
+OTHER_WORDS = ("BULK", "KG", "BAG", "BAGS", "BIG", "OCTABIN", "OCTABINS", "COMPOUND", "GRANULAT", "GRANULÉS", "GRANULES", "GRANULATE", "RESIN", "MAT", "ART", "REF", "YOUR", "IHRE", "NR", "PN", "HI", "FR", "UV", "GF", "CF", "MF", "SACK", "LOSE", "VRAC", "MATERIAL", "REV")
 
 _FOLD = ("OISZB", "01528")
 _NOISE_BEFORE = r"^(?:#|ART\.?-? ?NR\.?|ART\.|P/N|PN:?|MAT(?:ERIAL)?\.?(?:-?NR\.?)?:?|R[ÉE]F\.?|IHRE NR\.?|YOUR REF\.?:?|OUR REF\.?|ITEM|NO\.|NR\.)\s*(?=[A-Z0-9])"
@@ -80,9 +86,9 @@ def _is_code(p: Column) -> Column:
 
 def _described(text: Column) -> dict[str, Column]:
     """grade, name, colour that a description states; name is its longest word of at least four letters."""
-    colours = F.create_map(*[F.lit(x) for x in chain.from_iterable((w, k) for k, ws in COLOURS.items() for w in ws.split())])
+    colours = F.create_map(*[F.lit(x) for x in chain.from_iterable((w, k) for k, ws in COLOURS.items() for w in ws)])
     words = F.split(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "), " ")
-    other = F.array(*[F.lit(w) for w in OTHER_WORDS.split()])
+    other = F.array(*[F.lit(w) for w in OTHER_WORDS])
     named = F.filter(words, lambda w: (F.length(F.regexp_replace(w, r"\P{L}", "")) >= 4) & ~F.array_contains(other, w) & colours[w].isNull() & ~w.rlike(r"\d{3}|^\d+KG$"))
     seen = F.filter(F.transform(words, lambda w: colours[w]), lambda w: w.isNotNull())
     name = F.array_max(F.transform(named, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]

@@ -35,19 +35,81 @@ MARGIN = 0.15
 
 # Spellings of legal forms, by form.
 _LEGAL = {
-    "gmbh": "gmbh|g m b h|gesellschaft mbh|gesellschaft m b h|ges m b h|gesmbh|gmbh co kg", "ag": "ag|a g|aktiengesellschaft", "kg": "kg|k g|kommanditges|kommanditgesellschaft", "ltd": "ltd|limited|l t d", "plc": "plc|p l c|public limited company",
-    "coltd": "co ltd|company limited|co limited|company ltd", "pvtltd": "pvt ltd|private limited|p ltd|pvt limited|private ltd", "inc": "inc|incorporated|i n c", "corp": "corp|corporation", "llc": "llc|l l c", "sa": "sa|s a|societe anonyme|sociedad anonima",
-    "sas": "sas|s a s", "sarl": "sarl|s a r l", "srl": "srl|s r l", "spa": "spa|s p a", "sl": "sl|s l|sociedad limitada", "bv": "bv|b v|besloten vennootschap", "nv": "nv|n v", "spzoo": "sp z o o|spolka z o o|sp zoo", "lda": "lda|limitada|l d a", "kk": "kk|k k|kabushiki kaisha",
-}
+    "gmbh": ("gmbh", "g m b h", "gesellschaft mbh", "gesellschaft m b h", "ges m b h", "gesmbh", "gmbh co kg"),
+    "ag": ("ag", "a g", "aktiengesellschaft"),
+    "kg": ("kg", "k g", "kommanditges", "kommanditgesellschaft"),
+    "ltd": ("ltd", "limited", "l t d"),
+    "plc": ("plc", "p l c", "public limited company"),
+    "coltd": ("co ltd", "company limited", "co limited", "company ltd"),
+    "pvtltd": ("pvt ltd", "private limited", "p ltd", "pvt limited", "private ltd"),
+    "inc": ("inc", "incorporated", "i n c"),
+    "corp": ("corp", "corporation"),
+    "llc": ("llc", "l l c"),
+    "sa": ("sa", "s a", "societe anonyme", "sociedad anonima"),
+    "sas": ("sas", "s a s"),
+    "sarl": ("sarl", "s a r l"),
+    "srl": ("srl", "s r l"),
+    "spa": ("spa", "s p a"),
+    "sl": ("sl", "s l", "sociedad limitada"),
+    "bv": ("bv", "b v", "besloten vennootschap"),
+    "nv": ("nv", "n v"),
+    "spzoo": ("sp z o o", "spolka z o o", "sp zoo"),
+    "lda": ("lda", "limitada", "l d a"),
+    "kk": ("kk", "k k", "kabushiki kaisha"),
+}
 _LEGAL_WIDE = re.compile(r"[(（]集[团團][)）]|集[团團](?=有限|股份|公司)|股份有限公司|有限责任公司|有限公司|公司$|株式会社|有限会社|주식회사|\(주\)|㈜|（주）|（株）|\(株\)")
-# Words around a name that are no part of it.
 # Traditional characters of company names and their simplified forms.
 _SIMPLE = str.maketrans("錦遠裝莊製業電機東華廠國際貿實發銀鋼鐵鋁塑膠纖維張陳劉黃孫楊趙吳鄭馮蔣龍鳳豐興榮達運輸車馬橋連環藝術應線纜組織紡絲綢為聯萬億廣門闊廈濱灣島嶺維嵐澤磐盤創匯產師資優質選極階層級類號學會團集辦處務財報價額銷營維瀾瑩晟陽陰", "锦远装庄制业电机东华厂国际贸实发银钢铁铝塑胶纤维张陈刘黄孙杨赵吴郑冯蒋龙凤丰兴荣达运输车马桥连环艺术应线缆组织纺丝绸为联万亿广门阔厦滨湾岛岭维岚泽磐盘创汇产师资优质选极阶层级类号学会团集办处务财报价额销营维澜莹晟阳阴")
+# Words around a name that are no part of it.
 _BESIDE = re.compile(r"\[[^\[\]]*\]|\((?!주|株)[^()]*\)|\bc/o\b.*$|\battn\b.*$|\bz\.? ?hd\.?\b.*$|/ ?\d{3,}\s*$|,? ?\bdept\.? ?\d*|gate ?\d+\s*$|\b(?:ap dept|head office|purchasing|einkauf|goods in|accounts payable|compras|achats|acquisti)\b|^\s*(?:the|m/s\.?|messrs\.?|fa\.?|firma|kd\.?|kunde|société|ste\.?|sté\.?|soc\.?|ets\.?|company)\s+", re.I)
 # Short forms of first names.
-_NICK = "mike=michael rob=robert bob=robert bill=william will=william beppe=giuseppe pino=giuseppe peppe=giuseppe fco=francisco paco=francisco pancho=francisco chris=christopher kathy=katharina kathi=katharina kate=katharina kath=katharina alex=alexander tom=thomas dick=richard rick=richard rich=richard liz=elizabeth beth=elizabeth betty=elizabeth joe=joseph toni=antonio tony=antonio maggie=margaret meg=margaret peggy=margaret charlie=charles chuck=charles fritz=friedrich fred=friedrich heinz=heinrich heiner=heinrich willi=wilhelm hans=johannes jo=johannes hannes=johannes jim=james dave=david steve=stephen andy=andreas"
-_NICKS = dict(x.split("=") for x in _NICK.split())
-_FORMS = sorted(((w, k) for k, ws in _LEGAL.items() for w in ws.split("|")), key=lambda x: -len(x[0]))
+_NICKS = {
+    "mike": "michael",
+    "rob": "robert",
+    "bob": "robert",
+    "bill": "william",
+    "will": "william",
+    "beppe": "giuseppe",
+    "pino": "giuseppe",
+    "peppe": "giuseppe",
+    "fco": "francisco",
+    "paco": "francisco",
+    "pancho": "francisco",
+    "chris": "christopher",
+    "kathy": "katharina",
+    "kathi": "katharina",
+    "kate": "katharina",
+    "kath": "katharina",
+    "alex": "alexander",
+    "tom": "thomas",
+    "dick": "richard",
+    "rick": "richard",
+    "rich": "richard",
+    "liz": "elizabeth",
+    "beth": "elizabeth",
+    "betty": "elizabeth",
+    "joe": "joseph",
+    "toni": "antonio",
+    "tony": "antonio",
+    "maggie": "margaret",
+    "meg": "margaret",
+    "peggy": "margaret",
+    "charlie": "charles",
+    "chuck": "charles",
+    "fritz": "friedrich",
+    "fred": "friedrich",
+    "heinz": "heinrich",
+    "heiner": "heinrich",
+    "willi": "wilhelm",
+    "hans": "johannes",
+    "jo": "johannes",
+    "hannes": "johannes",
+    "jim": "james",
+    "dave": "david",
+    "steve": "stephen",
+    "andy": "andreas",
+}
+_FORMS = sorted(((w, k) for k, ws in _LEGAL.items() for w in ws), key=lambda x: -len(x[0]))
 _FORM_RE = re.compile(r"(?<![a-z0-9])(%s)(?![a-z0-9])" % "|".join(re.escape(w) for w, _ in _FORMS))
 _FORM_OF = dict(_FORMS)
 # quantifiers that give nothing back, so that very long texts take linear time
