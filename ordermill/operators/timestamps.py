@@ -21,18 +21,18 @@ DMY, MDY, YMD = 1, 2, 4
 ORDERS = {"DMY": DMY, "MDY": MDY, "YMD": YMD}
 # Month names (English, German, French, Spanish, Italian, Dutch, Portuguese, Polish), by month.
 MONTHS = (
-    "jan january januar janvier enero gennaio januari janeiro jänner ene gen janv stycznia",
-    "feb february februar février fevrier febrero febbraio februari fevereiro févr fév lutego",
-    "mar march märz maerz mars marzo maart março mrz mär marca",
-    "apr april avril abril aprile abr avr kwietnia",
-    "may mai mayo maggio mei maio mag maja",
-    "jun june juni juin junio giugno junho giu czerwca",
-    "jul july juli juillet julio luglio julho lug juil lipca",
-    "aug august août aout agosto augustus ago sierpnia",
-    "sep sept september septembre septiembre settembre setembro set września",
-    "oct october oktober octobre octubre ottobre outubro okt ott out października",
-    "nov november novembre noviembre novembro listopada",
-    "dec december dezember décembre decembre diciembre dicembre dezembro dez déc dic grudnia",
+    ("jan", "january", "januar", "janvier", "enero", "gennaio", "januari", "janeiro", "jänner", "ene", "gen", "janv", "stycznia"),
+    ("feb", "february", "februar", "février", "fevrier", "febrero", "febbraio", "februari", "fevereiro", "févr", "fév", "lutego"),
+    ("mar", "march", "märz", "maerz", "mars", "marzo", "maart", "março", "mrz", "mär", "marca"),
+    ("apr", "april", "avril", "abril", "aprile", "abr", "avr", "kwietnia"),
+    ("may", "mai", "mayo", "maggio", "mei", "maio", "mag", "maja"),
+    ("jun", "june", "juni", "juin", "junio", "giugno", "junho", "giu", "czerwca"),
+    ("jul", "july", "juli", "juillet", "julio", "luglio", "julho", "lug", "juil", "lipca"),
+    ("aug", "august", "août", "aout", "agosto", "augustus", "ago", "sierpnia"),
+    ("sep", "sept", "september", "septembre", "septiembre", "settembre", "setembro", "set", "września"),
+    ("oct", "october", "oktober", "octobre", "octubre", "ottobre", "outubro", "okt", "ott", "out", "października"),
+    ("nov", "november", "novembre", "noviembre", "novembro", "listopada"),
+    ("dec", "december", "dezember", "décembre", "decembre", "diciembre", "dicembre", "dezembro", "dez", "déc", "dic", "grudnia"),
 )
 # Abbreviations of zones as offsets; those with two meanings are settled by the region's own zone.
 ZONES = {
@@ -90,7 +90,7 @@ def read_timestamps(values: DataFrame, value: str = "value") -> DataFrame:
     df = bind(values, _t=t)
     df = bind(df, _f=F.split(form, _S)).filter("_f is not null").drop("_t")
     f = F.col("_f")
-    kind, month = f[0], _map({w: str(i + 1) for i, ws in enumerate(MONTHS) for w in ws.split()})
+    kind, month = f[0], _map({w: str(i + 1) for i, words in enumerate(MONTHS) for w in words})
     number = f[1].try_cast("long")
     # spreadsheet serials count days from 1899-12-30; longer numbers are seconds or milliseconds since 1970
     epoch = F.when(F.length(f[1]) == 13, F.floor(number / 1000)).when(F.length(f[1]) == 10, number)
