@@ -27,11 +27,18 @@ def messages_of(numbers: DataFrame, messages: DataFrame, least: int = 5) -> Data
     """number, message_no, tier: the message of each document number. 0 in a file name, 1 in the subject, 2 in the body;
     ties to the first message."""
     n = numbers.select(F.trim("number").alias("number")).filter(F.length("number") >= least).distinct()
+    # a number without blanks lies inside one word that has a digit, so only those words of a text are searched
+    word = r"[\p{L}\p{N}/_.-]"
+    plain = F.col("number").rlike(f"^{word}*[0-9]{word}*$")
     names = messages.select("message_no", F.explode("attachments.name").alias("t"))
     parts = [(names, 0), (messages.select("message_no", F.col("subject").alias("t")), 1), (messages.select("message_no", F.col("body.content").alias("t")), 2)]
     found = None
     for where, tier in parts:
-        hit = contained_pairs(n, where.filter("t is not null"), [], "number", "t", least).select("number", "message_no", F.lit(tier).alias("tier"))
+        where = where.filter("t is not null")
+        words = F.filter(F.array_distinct(F.regexp_extract_all("t", F.lit(f"{word}+"), F.lit(0))), lambda w: (F.length(w) >= least) & w.rlike("[0-9]"))
+        told = where.select("message_no", F.explode(words).alias("t"))
+        hits = contained_pairs(n.filter(plain), told, [], "number", "t", least).unionByName(contained_pairs(n.filter(~plain), where, [], "number", "t", least))
+        hit = hits.select("number", "message_no", F.lit(tier).alias("tier"))
         found = hit if found is None else found.unionByName(hit)
     return best_rows(found, "number", "tier", "message_no").select("number", "message_no", "tier")
 

@@ -118,14 +118,24 @@ def grade_token_match(spark, d):
     return _first(pairs.filter((text.overlap(F.col("x"), F.col("y")) >= 0.75) | ((F.size("y") >= 2) & (text.overlap(F.col("y"), F.col("x")) >= 0.65))))
 
 
-@query("WITH L AS (SELECT p_partkey AS item, " + _WORDS.format("p_name") + " AS x FROM part WHERE length(p_name) >= 5 AND regexp_matches(p_name, '[ ,]') AND length(regexp_replace(p_name, '[^A-Za-z]', '', 'g')) > 0.25 * length(p_name)), P AS (SELECT a.item, b.item AS row, len(list_intersect(a.x, b.x)) / least(len(a.x), len(b.x)) AS share FROM L a JOIN L b ON a.item <> b.item AND len(list_intersect(a.x, b.x)) >= 1) SELECT item, row, share FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY share DESC, row) AS r FROM P WHERE share >= 0.4) WHERE r = 1")
+_DESCRIPTIVE = "length({0}) >= 5 AND regexp_matches({0}, '[ ,]') AND length(regexp_replace({0}, '[^A-Za-z]', '', 'g')) > 0.25 * length({0})"
+
+
+@query(
+    "WITH L AS (SELECT customer_number, name, " + _WORDS.format("name") + " AS y FROM (SELECT DISTINCT customer_number, name FROM vendors) WHERE " + _DESCRIPTIVE.format("name") + "), I AS (SELECT vendor_id AS item, customer_number, " + _WORDS.format("ship_to_name") + " AS x FROM vendors WHERE ship_to_name IS NOT NULL), "
+    "P AS (SELECT item, name, len(list_intersect(x, y)) / least(len(x), len(y)) AS share FROM I JOIN L USING (customer_number) WHERE len(x) > 0 AND len(y) > 0) SELECT item, name, share FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY share DESC, name) AS r FROM P WHERE share >= 0.4) WHERE r = 1"
+)
 def descriptive_code_overlap(spark, d):
-    """Tier 13 on names of parts: the other part that shares most of the shorter name's words, 0.4 and more."""
-    p = table(spark, d, "part").filter(codes.is_descriptive(F.col("p_name"))).select(F.col("p_partkey").alias("item"), codes.plain_tokens(F.col("p_name")).alias("x"))
-    q = p.select(F.col("item").alias("row"), F.col("x").alias("y"))
-    pairs = cascade.rare_token_pairs(p, q, "x", "y", "item", "row", 0.4).unionByName(cascade.rare_token_pairs(q, p, "y", "x", "row", "item", 0.4).select("item", "row")).distinct().filter("item <> row")
-    scored = pairs.join(p, "item").join(q, "row").withColumn("share", text.short_overlap(F.col("x"), F.col("y"))).filter("share >= 0.4")
-    return cascade.best_rows(scored.select("item", "row", "share", (-F.col("share")).alias("_less")), "item", "_less", "row").select("item", "row", "share")
+    """Tier 13 on names: the customer's name that shares most of the shorter one's words with the ship-to name, 0.4 and more."""
+    v, on = table(spark, d, "vendors"), ["customer_number"]
+    i = v.filter("ship_to_name is not null").select(F.col("vendor_id").alias("item"), *on, codes.plain_tokens(F.col("ship_to_name")).alias("x"))
+    m = v.select(*on, "name").distinct().filter(codes.is_descriptive(F.col("name"))).select("name", *on, codes.plain_tokens(F.col("name")).alias("y"))
+    # rows are told by customer and name
+    m = m.withColumn("row", F.struct(*on, "name"))
+    pairs = cascade.rare_token_pairs(i, m, "x", "y", "item", "row", 0.4, on).unionByName(cascade.rare_token_pairs(m, i, "y", "x", "row", "item", 0.4, on).select("item", "row")).distinct()
+    scored = pairs.join(i.select("item", "x"), "item").join(m.select("row", "y"), "row").withColumn("share", text.short_overlap(F.col("x"), F.col("y"))).filter("share >= 0.4")
+    best = scored.select("item", F.col("row.name").alias("name"), "share", (-F.col("share")).alias("_less"))
+    return cascade.best_rows(best, "item", "_less", "name").select("item", "name", "share")
 
 
 @query(
