@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions import text
 from ordermill.functions.numbers import percent
-from ordermill.operators.cascade import best_rows, contained_pairs
+from ordermill.operators.cascade import HEAD, best_rows, contained_pairs
 
 
 def attachments_of_files(files: DataFrame, attachments: DataFrame, least: int = 5) -> DataFrame:
@@ -25,22 +27,35 @@ def attachments_of_files(files: DataFrame, attachments: DataFrame, least: int =
 
 def messages_of(numbers: DataFrame, messages: DataFrame, least: int = 5) -> DataFrame:
     """number, message_no, tier: the message of each document number. 0 in a file name, 1 in the subject, 2 in the body;
-    ties to the first message."""
-    n = numbers.select(F.trim("number").alias("number")).filter(F.length("number") >= least).distinct()
-    # a number without blanks lies inside one word that has a digit, so only those words of a text are searched
+    ties to the first message.
+
+    A number without blanks lies inside one word that has a digit, so each distinct word is searched once, with the first
+    message that has it. Numbers of other forms are searched in the texts themselves, if there are any: that is decided
+    by a look at the numbers when the plan is made.
+    """
+    n = numbers.select(F.trim("number").alias("number")).filter(F.length("number") >= least)
     word = r"[\p{L}\p{N}/_.-]"
     plain = F.col("number").rlike(f"^{word}*[0-9]{word}*$")
     names = messages.select("message_no", F.explode("attachments.name").alias("t"))
     parts = [(names, 0), (messages.select("message_no", F.col("subject").alias("t")), 1), (messages.select("message_no", F.col("body.content").alias("t")), 2)]
-    found = None
-    for where, tier in parts:
-        where = where.filter("t is not null")
-        words = F.filter(F.array_distinct(F.regexp_extract_all("t", F.lit(f"{word}+"), F.lit(0))), lambda w: (F.length(w) >= least) & w.rlike("[0-9]"))
-        told = where.select("message_no", F.explode(words).alias("t"))
-        hits = contained_pairs(n.filter(plain), told, [], "number", "t", least).unionByName(contained_pairs(n.filter(~plain), where, [], "number", "t", least))
-        hit = hits.select("number", "message_no", F.lit(tier).alias("tier"))
-        found = hit if found is None else found.unionByName(hit)
-    return best_rows(found, "number", "tier", "message_no").select("number", "message_no", "tier")
+    texts = reduce(lambda x, y: x.unionByName(y), [where.filter("t is not null").withColumn("tier", F.lit(tier)) for where, tier in parts])
+    words = F.filter(F.regexp_extract_all("t", F.lit(f"{word}+"), F.lit(0)), lambda w: (F.length(w) >= least) & w.rlike("[0-9]"))
+    told = texts.select("tier", "message_no", F.explode(words).alias("t")).groupBy("t", "tier").agg(F.min("message_no").alias("message_no"))
+    hits = _words_with(n.filter(plain).distinct(), told, least)
+    if not n.filter(~plain).isEmpty():
+        hits = hits.unionByName(contained_pairs(n.filter(~plain).distinct(), texts, [], "number", "t", least).select(*hits.columns))
+    first = hits.groupBy("number", "tier").agg(F.min("message_no").alias("message_no"))
+    return best_rows(first, "number", "tier", "message_no").select("number", "message_no", "tier")
+
+
+def _words_with(n: DataFrame, told: DataFrame, least: int) -> DataFrame:
+    """number, message_no, tier of the words (t) that contain a number: its first characters, HEAD at most, equal a substring
+    of the word. Only substrings of lengths that such beginnings have are made."""
+    a = n.withColumn("_g", F.substring("number", 1, max(least, HEAD[1])))
+    sizes = a.agg(F.collect_set(F.length("_g")).alias("_sizes"))  # one row, HEAD values at most
+    windows = F.flatten(F.transform(F.filter("_sizes", lambda k: k <= F.length("t")), lambda k: F.transform(F.sequence(F.lit(1), F.length("t") - k + 1), lambda i: F.substring(F.col("t"), i, k))))
+    b = told.crossJoin(F.broadcast(sizes)).select("t", "tier", "message_no", F.explode(F.array_distinct(windows)).alias("_g"))
+    return a.join(b, "_g").filter(F.contains("t", "number")).select("number", "message_no", "tier")
 
 
 def accuracy(rows: DataFrame, group: str, outcome: Column) -> DataFrame:

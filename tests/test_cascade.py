@@ -101,3 +101,26 @@ def test_messages(spark):
     assert rows(messages.messages_of(n, m)) == [("4500012", 1, 1), ("4500077", 1, 2), ("4500099", 1, 0)]
     f, a = spark.createDataFrame([("PO123.PDF",), ("order77.pdf",), ("abc.pdf",)], "file string"), spark.createDataFrame([("po123.pdf",), ("order77.xlsx",), ("my_order77_b.doc",), ("abcd.x",)], "name string")
     assert rows(messages.attachments_of_files(f, a)) == [("PO123.PDF", "po123.pdf", 0), ("order77.pdf", "order77.xlsx", 1)]
+
+
+def test_messages_against_all_pairs(spark):
+    """Numbers of any form against every text; texts are searched whole only for numbers that aren't one word with a digit."""
+    rng = random.Random(7)
+    text = lambda a, b: "".join(rng.choice("1123 -ab#") for _ in range(rng.randrange(a, b)))
+    mails = [(i, text(0, 40), [(text(0, 20),) for _ in range(rng.randrange(3))], ("text", text(0, 300))) for i in range(60)]
+    mails += [(60, None, None, None), (61, None, [(None,)], ("text", None))]
+    m = spark.createDataFrame(mails, "message_no int, subject string, attachments array<struct<name string>>, body struct<contentType string, content string>")
+    asked = [text(3, 8) for _ in range(150)] + ["11", None, "", "1" * 12, *[mails[i][3][1][20:32] for i in range(20)]]
+    told = [(i, tier, t) for i, s, a, b in mails for tier, ts in enumerate(([x for x, in a or []], [s], [b and b[1]])) for t in ts if t]
+    n = lambda keep: spark.createDataFrame([(x,) for x in asked if x is None or keep(x)], "number string")
+    plain = lambda x: " " not in x.strip(" ") and "#" not in x and any(c in "123" for c in x)
+    for keep in (plain, lambda x: True):
+        want = {}
+        for x in {x.strip(" ") for x in asked if x and keep(x) and len(x.strip(" ")) >= 5}:
+            hits = [(tier, i) for i, tier, t in told if x in t]
+            if hits:
+                want[x] = min(hits)
+        assert len(want) > 5 and rows(messages.messages_of(n(keep), m)) == sorted((x, i, tier) for x, (tier, i) in want.items())
+    # one look-up over distinct words, besides the join to one row of lengths; no text in a join
+    plan = messages.messages_of(n(plain), m)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2, plan
