@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions import dates, numbers, text
@@ -238,6 +238,29 @@ def _part_pairs(spark, d, share: float, either: bool = False):
     return met.filter("left_key < right_key").join(a.select("left_key", "x"), "left_key").join(b.select("right_key", "y"), "right_key")
 
 
+def _set_pairs(spark, d, share: float, kept: Callable[[Column, Column], Column], either: bool = False):
+    """left_key, right_key of the parts of a brand whose tokens x and y are `kept`, left_key below right_key. The second holds
+    `share` of the first one's tokens (or the other way round).
+
+    Sets are compared once however many parts have them: sets are found by their rarest tokens, and only a pair of sets
+    that is kept meets the two lists of keys. Pairs of parts are made last and never shuffled; a list of n keys has as
+    many results as n (n - 1) / 2, so it is short where the result can be kept at all.
+    """
+    words = F.split(F.trim(F.regexp_replace(F.lower(F.concat("p_name", F.lit(" "), "p_type")), "[^a-z0-9]+", " ")), " ")
+    p = table(spark, d, "part").select("p_partkey", "p_brand", F.array_sort(F.array_distinct(F.filter(words, lambda w: F.length(w) >= 2))).alias("t"))
+    # a set by its name: tokens have no line break
+    named = p.filter("p_brand is not null and size(t) > 0").select("p_partkey", "p_brand", "t", F.concat(F.array_join("t", " "), F.lit("\n"), "p_brand").alias("c"))
+    sets, keys = named.select("c", "p_brand", "t").distinct(), named.groupBy("c").agg(F.array_sort(F.collect_list("p_partkey")).alias("k"))
+    a, b = sets.select(F.col("c").alias("a"), "p_brand", F.col("t").alias("x")), sets.select(F.col("c").alias("b"), "p_brand", F.col("t").alias("y"))
+    met = cascade.rare_token_pairs(a, b, "x", "y", "a", "b", share, ["p_brand"])
+    if either:
+        met = met.unionByName(cascade.rare_token_pairs(b, a, "y", "x", "b", "a", share, ["p_brand"]).select("a", "b")).distinct()
+    tokens = lambda c: F.split(F.substring_index(c, "\n", 1), " ")
+    met = met.filter(kept(tokens("a"), tokens("b")))
+    lists = met.join(keys.select(F.col("c").alias("a"), F.col("k").alias("l")), "a").join(keys.select(F.col("c").alias("b"), F.col("k").alias("r")), "b")
+    return lists.select(F.explode("l").alias("left_key"), "r").select("left_key", F.explode("r").alias("right_key")).filter("left_key < right_key")
+
+
 @query(_PAIRS.format("len(list_intersect(x, y)) >= 0.75 * len(x) AND len(list_intersect(x, y)) >= 0.65 * len(y) AND len(x) >= 2"))
 def token_overlap_match(spark, d):
     p = _part_pairs(spark, d, 0.75)
@@ -251,7 +274,7 @@ def short_set_overlap(spark, d):
 
 @query(_PAIRS.format("len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) >= 0.5"))
 def jaccard_match(spark, d):
-    return _part_pairs(spark, d, 0.5).filter(text.jaccard(F.col("x"), F.col("y")) >= 0.5).select("left_key", "right_key")
+    return _set_pairs(spark, d, 0.5, lambda x, y: text.jaccard(x, y) >= 0.5)
 
 
 @query()
