@@ -269,7 +269,7 @@ def token_overlap_match(spark, d):
 
 @query(_PAIRS.format("len(list_intersect(x, y)) / least(len(x), len(y)) >= 0.6"))
 def short_set_overlap(spark, d):
-    return _part_pairs(spark, d, 0.6, either=True).filter(text.short_overlap(F.col("x"), F.col("y")) >= 0.6).select("left_key", "right_key")
+    return _set_pairs(spark, d, 0.6, lambda x, y: text.short_overlap(x, y) >= 0.6, either=True)
 
 
 @query(_PAIRS.format("len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) >= 0.5"))
