@@ -227,17 +227,6 @@ _TOK = "list_distinct(list_filter(string_split(trim(regexp_replace(lower({0}), '
 _PAIRS = "WITH a AS (SELECT p_partkey AS left_key, p_brand, " + _TOK.format("p_name || ' ' || p_type", 2) + " AS t FROM part), b AS (SELECT left_key AS right_key, p_brand, t FROM a), p AS (SELECT left_key, right_key, a.t AS x, b.t AS y FROM a JOIN b USING (p_brand) WHERE left_key < right_key AND len(list_intersect(a.t, b.t)) > 0) SELECT left_key, right_key FROM p WHERE {0}"
 
 
-def _part_pairs(spark, d, share: float, either: bool = False):
-    """Pairs of parts of a brand of which the second may hold `share` of the first one's tokens (or the other way round),
-    found by their rarest tokens: no brand is paired with itself."""
-    p = table(spark, d, "part").select("p_partkey", "p_brand", text.tokens(F.concat_ws(" ", "p_name", "p_type"), 2).alias("t"))
-    a, b = p.select(F.col("p_partkey").alias("left_key"), "p_brand", F.col("t").alias("x")), p.select(F.col("p_partkey").alias("right_key"), "p_brand", F.col("t").alias("y"))
-    met = cascade.rare_token_pairs(a, b, "x", "y", "left_key", "right_key", share, ["p_brand"])
-    if either:
-        met = met.unionByName(cascade.rare_token_pairs(b, a, "y", "x", "right_key", "left_key", share, ["p_brand"]).select("left_key", "right_key")).distinct()
-    return met.filter("left_key < right_key").join(a.select("left_key", "x"), "left_key").join(b.select("right_key", "y"), "right_key")
-
-
 def _set_pairs(spark, d, share: float, kept: Callable[[Column, Column], Column], either: bool = False):
     """left_key, right_key of the parts of a brand whose tokens x and y are `kept`, left_key below right_key. The second holds
     `share` of the first one's tokens (or the other way round).
@@ -263,8 +252,7 @@ def _set_pairs(spark, d, share: float, kept: Callable[[Column, Column], Column],
 
 @query(_PAIRS.format("len(list_intersect(x, y)) >= 0.75 * len(x) AND len(list_intersect(x, y)) >= 0.65 * len(y) AND len(x) >= 2"))
 def token_overlap_match(spark, d):
-    p = _part_pairs(spark, d, 0.75)
-    return p.filter((text.overlap(F.col("x"), F.col("y")) >= 0.75) & (text.overlap(F.col("y"), F.col("x")) >= 0.65) & (F.size("x") >= 2)).select("left_key", "right_key")
+    return _set_pairs(spark, d, 0.75, lambda x, y: (text.overlap(x, y) >= 0.75) & (text.overlap(y, x) >= 0.65) & (F.size(x) >= 2))
 
 
 @query(_PAIRS.format("len(list_intersect(x, y)) / least(len(x), len(y)) >= 0.6"))

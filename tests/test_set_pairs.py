@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 entry = importlib.import_module("__spark_entry__")
-NAMES = ["jaccard_match", "short_set_overlap"]
+NAMES = ["jaccard_match", "short_set_overlap", "token_overlap_match"]
 PART = "p_partkey long, p_brand string, p_name string, p_type string"
 
 
