@@ -451,16 +451,17 @@ def match_entities(headers: DataFrame, vendors: DataFrame, alias: DataFrame) ->
     decided = lists.mapInPandas(decide, "a string, loose boolean, b string, cosine double, unsure boolean")
     orgs = cut(decided.join(owners, "b").groupBy("a", "loose", "customer_number").agg(F.max("cosine").alias("cosine"), F.max("unsure").alias("unsure")))
 
-    # customers of each record: by its name, else by the ship-to name, else by the sender's habit
+    # customers of each record: by its name, else by the ship-to name, else by the sender's habit; each step is written,
+    # since the next ones read it several times and one plan of them all has over 500 nodes
     strict = orgs.filter("not loose").drop("loose")
     in_ship = strict.unionByName(orgs.filter("loose").drop("loose").join(strict.select("a").distinct(), "a", "left_anti"))
-    named = rec.join(strict.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure", F.lit(0).alias("route"))
-    no_name = rec.join(named.select("record_id").distinct(), "record_id", "left_anti").filter(_says_nothing("name"))
-    shipped = no_name.join(in_ship.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure", F.lit(1).alias("route"))
+    named = cut(rec.join(strict.withColumnRenamed("a", "name"), "name").select("record_id", "customer_number", "cosine", "unsure", F.lit(0).alias("route")))
+    no_name = cut(rec.join(named.select("record_id").distinct(), "record_id", "left_anti").filter(_says_nothing("name")).select("record_id", "sender_email", "ship_name"))
+    shipped = cut(no_name.join(in_ship.withColumnRenamed("a", "ship_name"), "ship_name").select("record_id", "customer_number", "cosine", "unsure", F.lit(1).alias("route")))
     numbered = rec.filter("number is not null").select("record_id", F.col("number").alias("customer_number"), F.lit(CANDIDATE).alias("cosine"), F.lit(False).alias("unsure"), F.lit(2).alias("route"))
     # a number whose names were found too comes from these
     numbered = numbered.join(named.select("record_id", "customer_number"), ["record_id", "customer_number"], "left_anti")
-    known = named.unionByName(shipped).unionByName(numbered)
+    known = cut(named.unionByName(shipped).unionByName(numbered))
     still = no_name.join(shipped.select("record_id").distinct(), "record_id", "left_anti")
     sure = known.filter("not unsure").join(rec.select("record_id", "sender_email"), "record_id").groupBy("record_id", "sender_email").agg(F.array_sort(F.collect_set("customer_number")).alias("cs"))
     habit = sure.groupBy("sender_email", "cs").agg(F.count("*").alias("n")).groupBy("sender_email").agg(F.max_by("cs", "n").alias("cs"), F.max("n").alias("n"), F.sum("n").alias("all")).filter("n >= 3 and n >= 0.95 * all")

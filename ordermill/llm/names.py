@@ -376,7 +376,8 @@ def gram_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     many = F.size("grams") > MANY
     held = F.when(many, F.concat("grams", F.transform("grams", lambda g: F.concat(F.lit("="), g)))).otherwise(F.concat("grams", _gram_pairs(F.when(many, F.slice("grams", 1, 0)).otherwise(F.col("grams")))))
     coded = right.select(F.xxhash64("name").alias("j"), F.explode(held).alias("g")).select("j", F.xxhash64("g").alias("g"))
-    pairs = lookup.join(coded, "g").select("i", "j").distinct()
+    # the planner's estimates don't count what explode adds, so it would broadcast these lists through the driver
+    pairs = lookup.join(coded.hint("merge"), "g").select("i", "j").distinct()
     return pairs.join(left.select("name", F.xxhash64("name").alias("i")), "i").join(right.select(F.col("name").alias("m"), F.xxhash64("name").alias("j")), "j").select("name", "m")
 
 

@@ -28,6 +28,21 @@ def test_matches(spark):
     assert all(0 < x["confidence"] <= 1 for x in got)
 
 
+def test_plans_stay_short(spark):
+    """No step's plan holds all those before it: the driver plans each again after every stage and keeps the texts."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    # plans as they are made first: adaptive execution leaves out what turns out to be empty here
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        E.match_entities(*frames(spark)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    runs = store.executionsList()
+    sizes = [store.planGraph(runs.apply(i).executionId()).allNodes().size() for i in range(before, runs.size())]
+    assert len(sizes) > 10 and max(sizes) <= 150, sizes
+
+
 def test_empty(spark):
     h, v, a = frames(spark)
     assert E.match_entities(h.limit(0), v, a).count() == 0

@@ -73,6 +73,22 @@ def test_candidates_against_all_pairs(spark, monkeypatch):
         assert len(want) > 100 and want <= {(r["name"], r["m"]) for r in N.gram_candidates(left, right).collect()}
 
 
+def test_lists_of_grams_are_not_broadcast(spark, tmp_path):
+    """However small the names' file is, the pairs of grams made of it don't go through the driver."""
+    import re
+
+    from ordermill.llm import names as N
+
+    rows = [(f"name{i}", grams((f"na{i:03d}mebakeli{i}",))) for i in range(50)]
+    spark.createDataFrame(rows, "name string, grams array<string>").write.parquet(str(tmp_path / "names"))
+    side = spark.read.parquet(str(tmp_path / "names"))
+    found = N.gram_candidates(side, side)
+    assert {(n, n) for n, _ in rows} <= {(r["name"], r["m"]) for r in found.collect()}
+    # the join of hashed grams: their column is a long
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[g#\d+L\]", plan) and not re.search(r"BroadcastHashJoin \[g#\d+L\]", plan)
+
+
 def test_answers_of_another_run_are_not_used():
     from ordermill.llm.names import Weights, _like_common
 
