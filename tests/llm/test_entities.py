@@ -90,3 +90,25 @@ def test_confidence_is_the_share_of_accepted_pairs(spark):
         band = (cos >= lo) & (cos < hi)
         assert abs((1 / (1 + np.exp(-(slope * cos[band] + level)))).mean() - accepted[band].mean()) < 0.08, (lo, slope, level)
     assert E._calibrate(spark.createDataFrame([], "a string, b string, cosine double, score double"))[0] > 0
+
+
+def test_calibration_sends_the_driver_its_sample_only(spark, monkeypatch):
+    """Every partition has a full sample of low hashes; they meet in a task, not in the driver."""
+    context = spark.sparkContext._jsc.sc()
+    stages = lambda: context.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    monkeypatch.setattr(E, "SAMPLE", 2000)
+    pairs = E.cut(spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("a"), F.lit("b").alias("b"), (F.col("id") % 100 / 100).alias("cosine"), F.when(F.col("id") % 2 == 0, 0.9).otherwise(0.0).alias("score")))
+    context.listenerBus().waitUntilEmpty()
+    last = max(stages().apply(i).stageId() for i in range(stages().size()))
+    # several partitions, and Spark's default way of fetching rows
+    options = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.execution.arrow.pyspark.enabled")
+    for o in options:
+        spark.conf.set(o, "false")
+    try:
+        E._calibrate(pairs)
+    finally:
+        for o in options:
+            spark.conf.set(o, "true")
+    context.listenerBus().waitUntilEmpty()
+    sent = [(s.stageId(), s.numTasks(), s.resultSize()) for s in (stages().apply(i) for i in range(stages().size())) if s.stageId() > last]
+    assert sent and sum(x for _, _, x in sent) < 300_000, sent
